@@ -97,5 +97,8 @@ def rule_number(text: Column, rules: Sequence[Rule | PartRule]) -> Column:
 
 
 def pick(number: Column, values: Sequence[str]) -> Column:
-    """Entry of a constant list."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), number + 1)
+    """Entry `number`, counted from 0, of a constant list.
+
+    The list travels as one string and Catalyst folds the split into an array literal.
+    """
+    return F.element_at(F.split(F.lit("\n".join(values)), "\n"), (number + 1).cast("int"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -46,8 +47,16 @@ def or_unknown(value: str | Column, label: str = "Unknown") -> Column:
 
 
 def has_word(text: Column, phrases: str) -> Column:
-    """True if one of the `|`-separated phrases occurs with word edges on both sides."""
-    return text.rlike(rf"(?<!{WORD})(?:{phrases})(?!{WORD})")
+    """True if one of the `|`-separated phrases occurs with word edges on both sides.
+
+    Plain phrases are looked for as substrings first, which skips the expression for most
+    texts.
+    """
+    found = text.rlike(rf"(?<!{WORD})(?:{phrases})(?!{WORD})")
+    parts = phrases.split("|")
+    if all(part == re.escape(part).replace("\\ ", " ") for part in parts):
+        return contains_any(text, parts) & found
+    return found
 
 
 def contains_any(text: Column, parts: Sequence[str]) -> Column:

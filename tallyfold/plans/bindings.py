@@ -7,7 +7,7 @@ only derives attribute values.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from tallyfold.functions.facts import detail_confidence, infer_workplace, posted_at
 from tallyfold.functions.facts import salary_range, skills
 from tallyfold.functions.identity import VIEW_BASE
+from tallyfold.functions.rules import pick
 from tallyfold.operators.quality import quality_issues, quality_metrics
 from tallyfold.plans.market import classify_run
+from tallyfold.sources.readers import spread
 
 RUN_SPLIT = "2024-01-16 00:00:00"
 WINDOW_DAYS = 7
@@ -48,7 +50,7 @@ BASE_TITLES = (
     "Survey Coordinator", "Math Tutor", "Education Specialist", "Software Engineer",
     "Software Engineering Partner", "Backend Engineer", "Full-Stack Engineer",
     "iOS Engineer", "Java Developer", "C++ Developer", "C++ Expert", "C++11 Expert",
-    "Software Enginneer", "Application Platform Engineer", "Member of Technical Staff",
+    "Software Enginner", "Application Platform Engineer", "Member of Technical Staff",
     "Engineer II (Software)", "Office Manager", "Team Lead", "Lead Manager", "Intern, Data",
     "Internal Auditor", "New Grad Engineer", "Early Career Developer", "Jr Developer",
     "Barista", "Coordinator", "Éceo Assistant", "Growth Manager", "Chemist - Hiring multiple candidates",
@@ -65,17 +67,18 @@ PHRASES = (
 EMPLOYMENT = ("Full-time", "Part-time", "Contract")
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Tables whose rows cost enough to be worth spreading over idle cores.
+COSTLY = ("documents", "events", "pages")
 
 
-def nth(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in COSTLY else df
 
 
 def title_for(key: Column) -> Column:
     return F.concat(
-        nth(PREFIXES, key % len(PREFIXES)), nth(BASE_TITLES, (key * 7) % len(BASE_TITLES))
+        pick(key % len(PREFIXES), PREFIXES), pick((key * 7) % len(BASE_TITLES), BASE_TITLES)
     )
 
 
@@ -95,7 +98,7 @@ def v_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = F.col("user_id").cast("string")
     text = F.concat(
         F.when(k % 10 == 7, F.lit("Reposted ")).otherwise(F.lit("")),
-        (k % 30 + 1).cast("string"), F.lit(" "), nth(UNITS, k % len(UNITS)), F.lit("s ago"),
+        (k % 30 + 1).cast("string"), F.lit(" "), pick(k % len(UNITS), UNITS), F.lit("s ago"),
     )
     posted = (
         F.when(k == 13, F.lit("Just now")).when(k == 14, F.lit("30+ days ago"))
@@ -169,8 +172,8 @@ def v_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("lang").isin("en", "fr"), "run_a").otherwise("run_b").alias("run_id"),
         d.cast("string").alias("job_id"),
         F.concat(F.lit(VIEW_BASE), d.cast("string"), F.lit("/")).alias("url"),
-        F.concat("text", nth(PHRASES, d % len(PHRASES))).alias("description"),
-        nth(EMPLOYMENT, d % len(EMPLOYMENT)).alias("employment_type"),
+        F.concat("text", pick(d % len(PHRASES), PHRASES)).alias("description"),
+        pick(d % len(EMPLOYMENT), EMPLOYMENT).alias("employment_type"),
         F.concat((d % 200).cast("string"), F.lit(" applicants")).alias("applicants_signal"),
         "doc_id", "lang", "source",
     )
@@ -218,20 +221,40 @@ def dimension(listings: DataFrame, value: str, key: str) -> DataFrame:
     return insert_if_absent(empty, listings, value, "scraped_at", key)
 
 
+class JobTables(Mapping):
+    """Pipeline tables by name; each is planned when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._made: dict[str, DataFrame] = {}
+        self._makers: dict[str, Callable[[], DataFrame]] = {
+            "search_runs": lambda: v_runs(spark, sf_dir),
+            "search_queries": lambda: v_frame(spark, sf_dir),
+            "listing_snapshots": lambda: v_listings(spark, sf_dir),
+            "job_details": lambda: v_details(spark, sf_dir),
+            "companies": lambda: dimension(self["listing_snapshots"], "company", "company_key"),
+            "locations": lambda: dimension(self["listing_snapshots"], "location", "location_key"),
+            "classifications": lambda: classify_run(self),
+            "quality_issues": self._issues,
+        }
+
+    def _issues(self) -> DataFrame:
+        issues = quality_issues(quality_metrics(self, CITY_LIST, WINDOW_DAYS))
+        return issues.withColumn(
+            "created_at", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+        )
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 def job_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """All pipeline tables; labels and issues are computed from the others."""
-    listings = v_listings(spark, sf_dir)
-    tables = {
-        "search_runs": v_runs(spark, sf_dir),
-        "search_queries": v_frame(spark, sf_dir),
-        "listing_snapshots": listings,
-        "job_details": v_details(spark, sf_dir),
-        "companies": dimension(listings, "company", "company_key"),
-        "locations": dimension(listings, "location", "location_key"),
-    }
-    tables["classifications"] = classify_run(tables)
-    metrics = quality_metrics(tables, CITY_LIST, WINDOW_DAYS)
-    tables["quality_issues"] = quality_issues(metrics).withColumn(
-        "created_at", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
-    )
-    return tables
+    return JobTables(spark, sf_dir)

@@ -14,6 +14,16 @@ from tallyfold.schemas import CSV_JOBS, CSV_LABELS, SHARED_TABLES, TABLES
 CSV_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly per-row work on a table that was read in fewer pieces.
+
+    Only small inputs are that few; a table of many files has more pieces than cores and
+    passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, run_id: str | None = None
 ) -> DataFrame:
