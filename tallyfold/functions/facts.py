@@ -42,16 +42,14 @@ def posted_at(text: str | Column, now: str | Column) -> Column:
     c, at = col(text), col(now)
     wording = F.regexp_replace(F.lower(c), "reposted|posted", "")
     amount = F.regexp_extract(wording, AGO, 1).try_cast("bigint")
-    unit = F.regexp_extract(wording, AGO, 2)
-    seconds = F.lit(None).cast("bigint")
-    for name, size in UNIT_SECONDS.items():
-        seconds = F.when(unit == name, F.lit(size).cast("bigint")).otherwise(seconds)
+    sizes = F.create_map(*[F.lit(x) for pair in UNIT_SECONDS.items() for x in pair])
+    seconds = F.try_element_at(sizes, F.regexp_extract(wording, AGO, 2)).cast("bigint")
     # Five digits of months is already 8 000 years; larger amounts are noise, not dates.
-    shifted = F.timestamp_add("SECOND", -amount * seconds, at)
+    usable = F.when(amount <= 99999, amount)
     return (
         F.when(c.isNull() | (c == ""), F.lit(None))
         .when(contains_any(wording, ("just now", "today")), at)
-        .when(amount <= 99999, shifted)
+        .otherwise(F.timestamp_add("SECOND", -usable * seconds, at))
     )
 
 

@@ -11,7 +11,7 @@ from tallyfold.functions.text import NOT_AVAILABLE, col, or_unknown
 from tallyfold.operators.bootstrap import bootstrap_ci
 from tallyfold.operators.canonical import canonical_with_frame, detail_lookup
 from tallyfold.operators.classify import classify_jobs
-from tallyfold.operators.dedupe import dedupe_best, top_per_group
+from tallyfold.operators.dedupe import dedupe_best, first_per_key, top_per_group
 from tallyfold.operators.overlap import overlap_metrics
 from tallyfold.operators.shares import inverse_weight, share_in_group, total_of, value_shares
 from tallyfold.plans import taxonomy as tx
@@ -137,22 +137,31 @@ def junior_by_family(jobs: DataFrame, min_jobs: int = 50) -> DataFrame:
 
 
 def top_companies(jobs: DataFrame, k: int = 20) -> DataFrame:
-    """Largest companies with their AI jobs, main role and main seniority."""
-    known = jobs.where(F.coalesce(F.col("company"), F.lit("")).isin("", NOT_AVAILABLE) == False)  # noqa: E712
-    counts = known.groupBy("company").agg(
-        F.count(F.lit(1)).alias("jobs"),
-        F.count_if(F.col("role_family") == "AI/ML").alias("ai_jobs"),
+    """Largest companies with their AI jobs, main role and main seniority.
+
+    Jobs are counted once into (company, role, seniority) cells; all that follows works
+    on those.
+    """
+    known = jobs.where(~F.coalesce(F.col("company"), F.lit("")).isin("", NOT_AVAILABLE))
+    cells = known.groupBy("company", "role_family", "seniority").agg(F.count(F.lit(1)).alias("n"))
+    counts = cells.groupBy("company").agg(
+        F.sum("n").alias("jobs"),
+        F.sum(F.when(F.col("role_family") == "AI/ML", F.col("n")).otherwise(0)).alias("ai_jobs"),
     )
     largest = counts.orderBy(F.desc("jobs"), F.asc("company")).limit(k)
-    # k companies at most, so both lookups below are filters on their rows.
-    theirs = known.join(largest.select("company"), "company", "left_semi")
-    role = top_per_group(theirs, "company", "role_family").select(
-        "company", F.col("role_family").alias("top_role"), F.col("share").alias("top_role_share")
-    )
-    level = top_per_group(theirs, "company", "seniority").select(
-        "company", F.col("seniority").alias("top_seniority")
+    theirs = cells.join(largest, "company")
+
+    def main(label: str) -> DataFrame:
+        sums = theirs.groupBy("company", "jobs", "ai_jobs", label).agg(F.sum("n").alias("n"))
+        order = [F.desc("n"), F.col(label).asc_nulls_last()]
+        return first_per_key(sums, ["company"], order)
+
+    role = main("role_family").select(
+        "company", "jobs", "ai_jobs", F.col("role_family").alias("top_role"),
+        (F.col("n") / F.col("jobs")).alias("top_role_share"),
     )
-    return largest.join(role, "company").join(level, "company")
+    level = main("seniority").select("company", F.col("seniority").alias("top_seniority"))
+    return role.join(level, "company")
 
 
 def workplace_mix(jobs: DataFrame) -> DataFrame:
