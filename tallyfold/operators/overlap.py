@@ -25,6 +25,14 @@ def overlap_metrics(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFram
     )
 
 
+def distinct_count(
+    df: DataFrame, key: str, by: Sequence[str] = (), approximate: bool = False
+) -> DataFrame:
+    """Distinct keys; `approximate` trades about 5 % accuracy for a single small sketch."""
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    return df.groupBy(*by).agg(count(F.col(key)).alias("jobs"))
+
+
 def joined_set(value: str | Column, separator: str) -> Column:
     """Distinct values in order as text; NULL where there is none."""
     values = F.array_sort(F.collect_set(value))

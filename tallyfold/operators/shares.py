@@ -210,16 +210,17 @@ def search_accuracy(
     cells = df.groupBy(term, role).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(named).alias("named")
     )
-    # Every cell is already one row per (term, role), so the lists stay as short as the taxonomy.
-    ranked = cells.groupBy(term).agg(
-        F.sum("n").alias("jobs"),
-        F.sum("named").alias("named"),
-        F.slice(
-            F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), F.col(role)))),
-            1, k_roles,
-        ).alias("roles"),
-    )
-    return ranked.select(
+    totals = cells.groupBy(F.col(term).alias("_term")).agg(
+        F.sum("n").alias("jobs"), F.sum("named").alias("named")
+    )
+    order = Window.partitionBy(term).orderBy(F.desc("n"), F.col(role).asc_nulls_last())
+    leading = cells.withColumn("pos", F.row_number().over(order)).where(F.col("pos") <= k_roles)
+    # k_roles entries per term.
+    lists = leading.groupBy(term).agg(
+        F.array_sort(F.collect_list(F.struct("pos", F.col(role).alias("role")))).alias("roles")
+    )
+    joined = lists.join(totals, F.col(term).eqNullSafe(F.col("_term")))
+    return joined.select(
         term, "jobs", (F.col("named") / F.col("jobs")).alias("match_rate"),
-        F.array_join(F.col(f"roles.{role}"), ", ").alias("top_roles"),
+        F.array_join("roles.role", ", ").alias("top_roles"),
     )

@@ -325,7 +325,7 @@ def discovery_rollup(spark, sf):
 @query("distinct_jobs", """
     SELECT run_id, count(DISTINCT job_id) AS jobs FROM v_listings GROUP BY 1""", "v_listings")
 def distinct_jobs(spark, sf):
-    return b.v_listings(spark, sf).groupBy("run_id").agg(F.count_distinct("job_id").alias("jobs"))
+    return ov.distinct_count(b.v_listings(spark, sf), "job_id", ["run_id"])
 
 
 @query("status_counts", """

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,15 +12,32 @@ from tallyfold.operators.canonical import canonical_jobs
 from tallyfold.schemas import SHARED_TABLES, TABLES
 from tallyfold.sources.readers import CSV_TIMESTAMP
 
+PLAIN_VALUE = re.compile(r"[\w.\-]+")
 
-def replace_partition(df: DataFrame, path: str, partition: str = "run_id") -> None:
-    """Replace only the partitions present in `df`; all others stay as they are."""
+
+def replace_partition(
+    df: DataFrame, path: str, partition: str = "run_id", values: Sequence[str] = ()
+) -> None:
+    """Replace the partitions present in `df`; all others stay as they are.
+
+    Values named in `values` are replaced even if `df` has no row for them, which empties
+    them: a run whose check found nothing must lose the issues of an earlier check.
+    """
+    for value in values:
+        if not PLAIN_VALUE.fullmatch(value):
+            raise ValueError(f"partition value {value!r} would need escaping")
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    if values:
+        # At most one row per named value comes back.
+        found = df.where(F.col(partition).isin(*values)).select(partition).distinct().collect()
+        nothing = df.drop(partition).limit(0)
+        for value in set(values) - {row[0] for row in found}:
+            nothing.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
 
 
 def export_run(

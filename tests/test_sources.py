@@ -29,6 +29,16 @@ def test_replace_partition_keeps_other_runs(spark, tmp_path):
     assert sorted(tuple(r) for r in got.select("run_id", "v").collect()) == [("a", 1), ("b", 9)]
 
 
+def test_replace_partition_empties_a_named_run(spark, tmp_path):
+    schema, path = "run_id string, v int", str(tmp_path / "t")
+    wr.replace_partition(spark.createDataFrame([("a", 1), ("b", 2)], schema), path)
+    wr.replace_partition(spark.createDataFrame([("b", 9)], schema), path, values=["a", "b"])
+    got = rd.read_table(spark, path, spark.createDataFrame([], schema).schema)
+    assert [tuple(r) for r in got.select("run_id", "v").collect()] == [("b", 9)]
+    with pytest.raises(ValueError):
+        wr.replace_partition(got, path, values=["a/b"])
+
+
 def test_number_issues(spark):
     df = spark.createDataFrame([("r", 2, "y"), ("r", 1, "x"), ("s", 1, "z")], "run_id string, o int, code string")
     got = sorted(r["issue_id"] for r in wr.number_issues(df, "o").collect())

@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta
 
+from tallyfold.operators.pages import listings_from_pages
+from tallyfold.schemas import LISTING_SNAPSHOTS
 from tallyfold.streaming import ingest as st
 
 SCHEMA = "k int, v string, at timestamp_ntz"
@@ -57,3 +59,23 @@ def test_stream_dedupe_across_batches(spark, tmp_path):
     (first.select("k").writeStream.format("parquet").option("path", str(tmp_path / "o"))
      .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination())
     assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "o")).collect()) == [1, 2, 3]
+
+
+def test_pages_arrive_as_listings(spark, tmp_path):
+    """Stored result pages in, current listings out; a page fetched again replaces its cards."""
+    schema = ("run_id string, query_id string, page int, html string, scraped_at timestamp_ntz, "
+              "raw_snapshot_path string")
+    card = '<div class="base-search-card job-search-card"><a href="/jobs/view/{}">x</a><h3>{}</h3></div>'
+
+    def arrive(html, at):
+        rows = [("r", "q", 1, html, at, None)]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = st.stream_files(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema)
+        st.ingest_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"), ["snapshot_id"],
+                         ["scraped_at"], listings_from_pages).awaitTermination()
+        df = st.read_current(spark, str(tmp_path / "out"), LISTING_SNAPSHOTS, ["snapshot_id"])
+        return sorted((r["snapshot_id"], r["title"]) for r in df.collect())
+
+    assert arrive(card.format(7, "Cook"), T0) == [("q:1:1:7", "Cook")]
+    again = card.format(7, "Chef") + card.format(8, "Nurse")
+    assert arrive(again, T0 + timedelta(1)) == [("q:1:1:7", "Chef"), ("q:1:2:8", "Nurse")]
