@@ -21,7 +21,7 @@ from tallyfold.functions.facts import (
 from tallyfold.functions.identity import (
     VIEW_BASE, canonical_url, content_hash, job_id_from_url, snapshot_id,
 )
-from tallyfold.functions.text import clean_text, keeps_title
+from tallyfold.functions.text import clean_text, contains_any, keeps_title
 
 
 @dataclass(frozen=True)
@@ -285,3 +285,49 @@ def pair_by_position(
     pairs = F.arrays_zip(left.alias(a), right.alias(b))
     spread = pages.select(key, F.posexplode(pairs).alias("pos", "p"))
     return spread.select(key, "pos", F.col(f"p.{a}").alias(a), F.col(f"p.{b}").alias(b))
+
+
+# Heading texts that are page furniture, and lengths a usable one exceeds.
+TITLE_FURNITURE = ("sign", "join", "filter", "sort")
+COMPANY_FURNITURE = ("experience", "type", "function", "industry")
+TITLE_LENGTH, COMPANY_LENGTH = 5, 1
+ENOUGH_CARDS = 5
+
+
+def usable_texts(texts: Column, furniture: Sequence[str], longer_than: int) -> Column:
+    """Cleaned texts of some headings without the page furniture."""
+    cleaned = F.transform(texts, lambda t: clean_text(F.regexp_replace(t, "<[^>]*>", " ")))
+    return F.filter(
+        cleaned, lambda t: (F.length(t) > longer_than) & ~contains_any(F.lower(t), furniture)
+    )
+
+
+def pair_headings(
+    pages: DataFrame,
+    key: str,
+    titles: Column,
+    companies: Column,
+    found: Column,
+    enough: int = ENOUGH_CARDS,
+    title_furniture: Sequence[str] = TITLE_FURNITURE,
+) -> DataFrame:
+    """Fallback for pages that gave too few cards: i-th title heading with i-th company.
+
+    Titles found already, and repeats of a title on the page, are skipped. All of it
+    happens inside the row.
+    """
+    short = pages.select(
+        key, found.alias("_found"),
+        usable_texts(titles, title_furniture, TITLE_LENGTH).alias("_t"),
+        usable_texts(companies, COMPANY_FURNITURE, COMPANY_LENGTH).alias("_c"),
+    ).where(F.size("_found") < enough)
+    both = F.least(F.size("_t"), F.size("_c"))
+    spread = short.select(
+        key, "_found", "_t", F.posexplode(F.arrays_zip(
+            F.slice("_t", F.lit(1), both).alias("title"), F.slice("_c", F.lit(1), both).alias("company")
+        )).alias("pos", "p"),
+    )
+    fresh = (F.array_position("_t", F.col("p.title")) == F.col("pos") + 1) & ~F.array_contains(
+        "_found", F.col("p.title")
+    )
+    return spread.where(fresh).select(key, "pos", "p.title", "p.company")

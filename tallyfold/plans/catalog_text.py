@@ -395,6 +395,32 @@ def pair_by_position(spark, sf):
     )
 
 
+def usable_sql(texts: str, furniture, longer_than: int) -> str:
+    bad = " OR ".join(f"contains(lower(x), '{w}')" for w in furniture)
+    cleaned = f"list_transform({texts}, lambda x: {clean('x')})"
+    return f"list_filter({cleaned}, lambda x: length(x) > {longer_than} AND NOT ({bad}))"
+
+
+LINK_TEXTS = f"regexp_extract_all(html, '{LI_PATTERN}', 2)"
+P_TEXTS = f"regexp_extract_all(html, '{P_PATTERN}', 1)"
+
+
+@query("pair_headings", f"""
+    SELECT page_id, (i - 1)::INT AS pos, ts[i] AS title, cs[i] AS company
+    FROM (SELECT *, unnest(range(1, least(len(ts), len(cs)) + 1)) AS i FROM (
+        SELECT page_id, {LINK_TEXTS} AS found,
+               {usable_sql(P_TEXTS, pg.TITLE_FURNITURE, pg.TITLE_LENGTH)} AS ts,
+               {usable_sql(LINK_TEXTS, pg.COMPANY_FURNITURE, pg.COMPANY_LENGTH)} AS cs
+        FROM pages) WHERE len(found) < 6)
+    WHERE list_position(ts, ts[i]) = i AND NOT list_contains(found, ts[i])""")
+def pair_headings(spark, sf):
+    """Paragraphs as titles and link texts as companies, on pages with few links."""
+    links = pg.tag_texts("html", LI_PATTERN, 2)
+    return pg.pair_headings(
+        b.load(spark, sf, "pages"), "page_id", pg.tag_texts("html", P_PATTERN), links, links, 6
+    )
+
+
 # --- Incremental arrival --------------------------------------------------------------------
 
 
