@@ -20,6 +20,15 @@ def total_of(df: DataFrame, column: str) -> Column:
     return df.agg(F.sum(column)).scalar()
 
 
+def totals_of(df: DataFrame, *columns: str) -> Column:
+    """Totals of all aggregated columns as one struct.
+
+    Naming every column keeps the subquery's plan equal to the main one, so that the
+    exchange below both is the same and runs once.
+    """
+    return df.agg(F.struct(*[F.sum(c).alias(c) for c in columns]).alias("t")).scalar()
+
+
 def value_shares(df: DataFrame, segment: str | Column, name: str = "segment") -> DataFrame:
     """Rows and share per segment; a missing segment is 'Unknown'."""
     counts = df.groupBy(or_unknown(segment).alias(name)).agg(F.count(F.lit(1)).alias("n"))
@@ -40,8 +49,10 @@ def weighted_shares(
     sums = df.groupBy(or_unknown(segment).alias(name)).agg(
         F.count(F.lit(1)).alias("n"), F.sum(inverse_weight(weight)).alias("weighted")
     )
-    share = F.try_divide(F.col("weighted"), total_of(sums, "weighted"))
-    return sums.select(name, "n", "weighted", share.alias("share"))
+    total = totals_of(sums, "n", "weighted").getField("weighted")
+    return sums.select(
+        name, "n", "weighted", F.try_divide(F.col("weighted"), total).alias("share")
+    )
 
 
 def crosstab_long(df: DataFrame, row: str | Column, column: str | Column) -> DataFrame:
@@ -107,11 +118,12 @@ def group_map_shares(
     if weight is not None:
         aggs.append(F.sum(inverse_weight(weight)).alias("weighted"))
     sums = df.groupBy(label.alias("segment")).agg(*aggs)
-    cols = ["segment", "n", (F.col("n") / total_of(sums, "n")).alias("share")]
+    measures = ["n"] if weight is None else ["n", "weighted"]
+    totals = totals_of(sums, *measures)
+    cols = ["segment", "n", (F.col("n") / totals.getField("n")).alias("share")]
     if weight is not None:
-        cols.append(
-            F.try_divide(F.col("weighted"), total_of(sums, "weighted")).alias("weighted_share")
-        )
+        share = F.try_divide(F.col("weighted"), totals.getField("weighted"))
+        cols.append(share.alias("weighted_share"))
     return sums.select(*cols).where(F.col("segment").isNotNull())
 
 
