@@ -19,6 +19,9 @@ from tallyfold.session import scratch_path
 SLICE_BYTES = 1 << 20
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
+# Runs of ASCII letters, digits and any other characters beyond ASCII count as one word.
+MARKS = np.ones(256, bool)
+MARKS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -62,19 +65,18 @@ def over_texts(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int
 
 
 class Words:
-    """The words (runs of bytes that are not ASCII white space) of some texts as arrays.
+    """The words of some texts as arrays: runs of bytes outside `blank`, ASCII white space at first.
 
     data: bytes, lower-cased A-Z; start, end: byte range of each word; doc: index of its text;
     first: index of the first word of each text, with the total at the end.
     """
 
-    def __init__(self, texts: list[bytes], lower: bool = True):
+    def __init__(self, texts: list[bytes], lower: bool = True, blank: np.ndarray = SPACES):
         raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         self.data = LOWER[raw] if lower else raw
-        self.raw = raw
         sizes = np.fromiter((len(t) for t in texts), np.int64, len(texts)) + 1
         self.bounds = np.concatenate(([0], np.cumsum(sizes)))
-        blank = SPACES[raw]
+        blank = blank[raw]
         edges = np.flatnonzero(np.diff(np.concatenate(([True], blank)).view(np.int8)))
         self.start, self.end = edges[0::2], edges[1::2]
         self.first = np.searchsorted(self.start, self.bounds)
@@ -133,6 +135,12 @@ def inside(first: np.ndarray, width: int, total: int) -> np.ndarray:
     return np.arange(n) + width <= last
 
 
+def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sum of `values` over each range of `first`, empty ranges 0."""
+    total = np.concatenate(([0], np.cumsum(values, dtype=np.float64 if values.dtype.kind == "f" else np.int64)))
+    return total[first[1:]] - total[first[:-1]]
+
+
 def record_batch(schema: pa.Schema, *arrays) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [a if isinstance(a, pa.Array) else pa.array(a, f.type) for a, f in zip(arrays, schema)],
