@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyfold.llm import archive, chat, licenses, packing, rules, secrets
+from tallyfold.llm import archive, chat, licenses, packing, passages, rules, secrets, toxicity
 from tallyfold.llm.common import stored, table
+from tallyfold.llm.labels import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +26,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_passage_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder("doc_id", 4) == 2
+    model = passages.quality_model(docs, table(spark, sf_dir, "labels"), learn_from=~held_out)
+    return passages.quality(docs, model).select(
+        "*", held_out.alias("held_out"), (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 OP3_SQL = """
 WITH p AS (
   SELECT page_id, url, coalesce(html, '') AS payload FROM pages
@@ -56,6 +67,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(docs, rules.quality_model(docs, table(spark, sf_dir, "labels")))
 
 
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder("doc_id", 5) == 0
+    model = toxicity.toxicity_model(docs, table(spark, sf_dir, "labels"), learn_from=~held_out)
+    return toxicity.toxicity(docs, model).select(
+        "*", held_out.alias("held_out"), (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @query("op8_chat_format")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
