@@ -15,6 +15,7 @@ numbered within (length, bucket).
 
 from __future__ import annotations
 
+import array
 import os
 import zlib
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ from tallyfold.llm.common import columns, over_texts, record_batch, stored
 
 CAPACITY = 2048
 BUCKET_ROWS = 20_000
-CACHE_WORDS = 150_000
+CACHE_WORDS = 250_000
 PIECES = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"
 
 
@@ -40,7 +41,7 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Ids as little-endian 32-bit bytes, remembered per white-space separated chunk.
+    """Ids as 32-bit integers in (little-endian) bytes, remembered per white-space separated chunk.
 
     For tokenizers that drop white space and never join across it, the ids of a text are those of
     its chunks in turn. Only the separators common to all such tokenizers (ASCII white space) are
@@ -51,16 +52,24 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        # Two generations: what the current one has no room for is forgotten unless it comes again.
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         chunks = [t.split() for t in texts]
-        new = list(set().union(*chunks) - self.known.keys())
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, new = {}, list(set().union(*chunks))
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
+        new = []
+        for c in set().union(*chunks) - self.known.keys():
+            if c in self.older:
+                self.known[c] = self.older[c]
+            else:
+                new.append(c)
         coded = self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
         self.known.update(
-            (c, np.asarray(e.ids, "<u4").tobytes()) for c, e in zip(new, coded, strict=True)
+            (c, array.array("I", e.ids).tobytes()) for c, e in zip(new, coded, strict=True)
         )
         get = self.known.__getitem__
         return [b"".join(map(get, c)) for c in chunks]

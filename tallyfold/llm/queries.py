@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import archive, chat, licenses, packing, passages, rules, secrets, toxicity
+from tallyfold.llm import (
+    archive, chat, decontaminate, licenses, packing, passages, rules, secrets, toxicity,
+)
 from tallyfold.llm.common import stored, table
 from tallyfold.llm.labels import remainder
 
@@ -56,6 +58,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query("op4_decontamination", decontaminate.oracle())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_best_fit_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
