@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import (
-    archive, chat, decontaminate, licenses, packing, passages, rules, secrets, toxicity,
+    archive, chat, decontaminate, licenses, overlap, packing, passages, rules, secrets, toxicity,
 )
 from tallyfold.llm.common import stored, table
 from tallyfold.llm.labels import remainder
@@ -37,6 +37,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_ngram_jaccard_join", overlap.oracle())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.linked_documents(table(spark, sf_dir, "documents"))
+
+
 OP3_SQL = """
 WITH p AS (
   SELECT page_id, url, coalesce(html, '') AS payload FROM pages
