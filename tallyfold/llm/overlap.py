@@ -7,18 +7,18 @@ lists set aside, a partner must still occur T - L times on the others. The short
 only candidates found there are looked up, by binary search, in the long ones.
 
 1. Equal sets are one class, represented by its smallest document id.
-2. Only the smallest hashes of a set are indexed: of n - T + l of them, two partners share l at least
-   (l = n // 20). Elements that no other set has indexed have no list, and a set with fewer than the
-   needed number of listed elements has no partner. Most of a corpus ends here.
-3. The remaining elements of a set are ordered by the length of their lists. The needed number less
-   one, the longest, are the long lists; every partner is on one of the others, the keys.
-4. Lists of keys with up to 40 sets are merged per set, candidates are probed in the long lists, and
-   what is left is compared in full. Comparison starts with one candidate per set; candidates that
-   are connected by then need none.
-5. Lists of keys with more sets (large groups of near copies, passages that make up most of a text)
-   are never multiplied out. Their sets are compared with the smallest set of the list first, which
-   connects near copies. Only sets outside a group's largest component are then compared with the
-   others, in blocks of 64 by 64, and only if they are not connected yet. No list is cut or dropped.
+2. At first only the smallest hashes of a set are indexed: of n - T + l of them two partners share l at
+   least (l = n // 20). Elements that no other set has indexed have no list, and a set with fewer
+   than the needed number of listed elements has no partner. Most of a corpus ends here.
+3. The other sets are indexed in whole. A set with fewer than T listed elements has no partner.
+4. The listed elements of a set are ordered by the length of their lists. The T - 1 longest are set
+   aside; every partner is on one of the other lists, those of the keys.
+5. Lists of keys with up to 40 sets are merged per set, and candidates are probed in the lists set
+   aside. This begins with one candidate per set; candidates that are connected by then need none.
+6. Lists of keys with more sets (large groups of near copies, passages that make up most of a text)
+   are never multiplied out. Their sets are first compared with the smallest set of the list, which
+   connects close copies. Only sets outside a group's largest component are then compared with the
+   others, in blocks of 64 by 64 that emit nothing but links. No list is cut or dropped.
 
 Documents are connected if a chain of links joins them.
 """
@@ -34,12 +34,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import (
-    Words, columns, inside, mixed, over_texts, record_batch, small, stored, sums, window_hashes,
+    Words, columns, inside, mixed, over_texts, record_batch, small, stored, window_hashes,
 )
 from tallyfold.llm.graphs import components
 
 SHORT = 40  # sets on a list that is merged
 BLOCK = 64
+CHUNK = 4096  # elements per incidence matrix
 
 
 @dataclass(frozen=True)
@@ -112,18 +113,27 @@ def digest(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def needed(n: Column, join: Join) -> Column:
     """Indexed elements that a set shares with any partner; a partner has 0.85 n elements at least."""
-    return F.greatest(F.lit(1), F.floor(F.floor((n * join.percent + 99) / 100) / 20)).cast("int")
+    return F.greatest(F.lit(1), F.floor(least_shared(n, join) / 20))
 
 
-def with_partners(postings: DataFrame, join: Join) -> DataFrame:
-    """(rep, n, token) -> rep, n, need, lists (length of list, token) of the sets that can have a partner."""
+def least_shared(n: Column, join: Join) -> Column:
+    """T: elements shared with any partner."""
+    return F.floor((n * join.percent + 99) / 100)
+
+
+def listed_postings(postings: DataFrame) -> DataFrame:
+    """(token, rep, n) and df, the length of the list, for elements that two sets have at least."""
     lengths = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    return postings.join(lengths, "token")
+
+
+def with_partners(postings: DataFrame, join: Join) -> DataFrame:
+    """rep, n, lists (length of list, token; shortest first) of the sets with T listed elements."""
     return (
-        postings.join(lengths, "token")
+        listed_postings(postings)
         .groupBy("rep", "n")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("lists"))
-        .withColumn("need", needed(F.col("n"), join))
-        .where(F.size("lists") >= F.col("need"))
+        .where(F.size("lists") >= least_shared(F.col("n"), join))
     )
 
 
@@ -149,41 +159,33 @@ def merged(short: DataFrame) -> DataFrame:
     return by_set.mapInArrow(run, "x long, candidates array<struct<y: long, count: long>>")
 
 
-def probed(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """The pairs (a, b) that share enough indexed elements, counted by binary search."""
+def linked(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """The pairs (a, b) that are similar enough; shared elements are counted by binary search. Elements
+    that only one of the sets has on a list are in no other set, so lists suffice for an exact count."""
     def side(name: str) -> DataFrame:
         return sets.select(
-            F.col("rep").alias(name), F.col("n").alias(f"n_{name}"), F.col("need").alias(f"need_{name}"),
-            F.col("tokens").alias(f"tokens_{name}"),
+            F.col("rep").alias(name), F.col("n").alias(f"n_{name}"), F.col("tokens").alias(f"tokens_{name}")
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            need_a, need_b, ta, tb = columns(batch, "need_a", "need_b", "tokens_a", "tokens_b")
-            for need, a, b in zip(np.maximum(need_a.to_numpy(), need_b.to_numpy()), ta, tb):
+            common = []
+            n_a, n_b, ta, tb = columns(batch, "n_a", "n_b", "tokens_a", "tokens_b")
+            for a, b in zip(ta, tb):
                 a, b = a.values.to_numpy(), b.values.to_numpy()
                 at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-                keep.append(int((b[at] == a).sum()) >= need)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                common.append(int((b[at] == a).sum()))
+            ok = similar(np.array(common, np.int64), n_a.to_numpy(), n_b.to_numpy(), join)
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    sized = pairs.join(side("a"), "a").join(side("b"), "b").where(sizes_allow(F.col("n_a"), F.col("n_b"), join))
+    sized = pairs.join(side("a"), "a").join(side("b"), "b").where(
+        F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * join.percent
+    )
     return sized.mapInArrow(run, "a long, b long")
 
 
-def sizes_allow(a: Column, b: Column, join: Join) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * join.percent
-
-
-def linked(pairs: DataFrame, full: DataFrame, join: Join) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    a = full.select(F.col("rep").alias("a"), F.col("hashes").alias("set_a"))
-    b = full.select(F.col("rep").alias("b"), F.col("hashes").alias("set_b"))
-    both = pairs.join(a, "a").join(b, "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    total = F.size("set_a") + F.size("set_b")
-    # 100 common >= percent (total - common)
-    return both.where(common * (100 + join.percent) >= total * join.percent).select("a", "b")
+def similar(common, n_a, n_b, join: Join):
+    return 100 * common >= join.percent * (n_a + n_b - common)
 
 
 def labelled(df: DataFrame, labels: DataFrame, *names: str) -> DataFrame:
@@ -194,11 +196,11 @@ def labelled(df: DataFrame, labels: DataFrame, *names: str) -> DataFrame:
     return df
 
 
-def block_pairs(long: DataFrame, sets: DataFrame, labels: DataFrame, join: Join) -> DataFrame:
-    """Pairs from long lists that are not connected and share enough indexed elements.
+def block_links(long: DataFrame, sets: DataFrame, labels: DataFrame, join: Join) -> DataFrame:
+    """Links between sets of long lists that are not connected yet.
 
     Lists that have sets in common form a group. All but the group's largest component is compared
-    with the whole group; a row holds two blocks of sets, and only pairs that pass are emitted.
+    with the whole group; a row holds two blocks of sets, and only links are emitted.
     """
     groups = components(long.select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
     of = groups.select(F.col("node").alias("rep"), F.col("component").alias("group"))
@@ -211,7 +213,7 @@ def block_pairs(long: DataFrame, sets: DataFrame, labels: DataFrame, join: Join)
     ).where("outside > 0")
     held = members.join(about, "group").join(sets, "rep").select(
         "group", "main", "size", "outside",
-        F.struct("rep", F.col("comp_rep").alias("comp"), "n", "need", "tokens").alias("set"),
+        F.struct("rep", F.col("comp_rep").alias("comp"), "n", "tokens").alias("set"),
     )
     held = stored(held, "long-lists")
 
@@ -233,28 +235,39 @@ def block_pairs(long: DataFrame, sets: DataFrame, labels: DataFrame, join: Join)
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         for batch in batches:
             for one, two in zip(*columns(batch, "one_sets", "two_sets")):
-                a, b = compared(one.values, two.values, join.percent)
-                yield record_batch(schema, a, b)
+                yield record_batch(schema, *compared(one.values, two.values, join))
 
     return rows.select("one_sets", "two_sets").mapInArrow(run, "a long, b long").distinct()
 
 
-def compared(one: pa.StructArray, two: pa.StructArray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (larger id, smaller id) of two blocks in different components that share enough."""
-    rep, comp, n, need = (two.field(k).to_numpy() for k in ("rep", "comp", "n", "need"))
-    flat = two.field("tokens").flatten().to_numpy()
-    first = np.concatenate(([0], np.cumsum(two.field("tokens").value_lengths().to_numpy())))
-    out_a, out_b = [], []
-    for x in one.to_pylist():
-        ok = (comp != x["comp"]) & (np.minimum(n, x["n"]) * 100 >= np.maximum(n, x["n"]) * percent)
-        if not ok.any():
-            continue
-        common = sums(np.isin(flat, np.array(x["tokens"], np.int64)), first)
-        ys = rep[ok & (common >= np.maximum(need, x["need"]))]
-        out_a.append(np.maximum(ys, x["rep"]))
-        out_b.append(np.minimum(ys, x["rep"]))
+def compared(one: pa.StructArray, two: pa.StructArray, join: Join) -> tuple[np.ndarray, np.ndarray]:
+    """Links (larger id, smaller id) between sets of two blocks that are in different components."""
+    def fields(block: pa.StructArray):
+        rep, comp, n = (block.field(k).to_numpy() for k in ("rep", "comp", "n"))
+        lists = block.field("tokens")
+        size = lists.value_lengths().to_numpy().astype(np.int64)
+        return rep, comp, n, size, lists.flatten().to_numpy(), np.repeat(np.arange(len(rep)), size)
+
+    rep_a, comp_a, n_a, size_a, flat_a, row_a = fields(one)
+    rep_b, comp_b, n_b, size_b, flat_b, row_b = fields(two)
+    n_a, n_b = n_a[:, None], n_b[None, :]
+    most = np.minimum(size_a[:, None], size_b[None, :])
+    open_ = (comp_a[:, None] != comp_b[None, :]) & similar(most, n_a, n_b, join)
     none = np.zeros(0, np.int64)
-    return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
+    if not open_.any():
+        return none, none
+    shared = np.intersect1d(flat_a, flat_b)
+    common = np.zeros(open_.shape, np.float32)
+    at_a, at_b = np.searchsorted(shared, flat_a), np.searchsorted(shared, flat_b)
+    for lo in range(0, len(shared), CHUNK):  # incidence matrices of some elements at a time
+        x, y = (np.zeros((len(r), CHUNK), np.float32) for r in (rep_a, rep_b))
+        for m, at, flat, row in ((x, at_a, flat_a, row_a), (y, at_b, flat_b, row_b)):
+            ok = (at >= lo) & (at < min(lo + CHUNK, len(shared)))
+            ok[ok] = shared[at[ok]] == flat[ok]
+            m[row[ok], at[ok] - lo] = 1
+        common += x @ y.T
+    i, j = np.nonzero(open_ & similar(common.astype(np.int64), n_a, n_b, join))
+    return np.maximum(rep_a[i], rep_b[j]), np.minimum(rep_a[i], rep_b[j])
 
 
 def links_of(docs: DataFrame, indexed: DataFrame, join: Join) -> DataFrame:
@@ -263,13 +276,21 @@ def links_of(docs: DataFrame, indexed: DataFrame, join: Join) -> DataFrame:
         F.min("doc_id").cast("long").alias("rep"), F.any_value("hashes").alias("hashes")
     )
     postings = classes.select("rep", "n", F.explode("hashes").alias("token"))
-    some = stored(with_partners(postings, join), "sets-1")
-    again = some.select("rep", "n", F.explode("lists.token").alias("token"))
-    key_count = F.size("lists") - F.col("need") + 1
+    some = (
+        listed_postings(postings).groupBy("rep", "n").agg(F.count("*").alias("listed"))
+        .where(F.col("listed") >= needed(F.col("n"), join))
+        .select(F.col("rep").alias("doc_id")).distinct()
+    )
+    texts = docs.select("doc_id", "text").join(small(stored(some, "some"), 2_000_000), "doc_id")
+    full = shingle_sets(texts, join, whole=True).withColumnRenamed("doc_id", "rep")
+    full = stored(full.select("rep", "n", "hashes").dropDuplicates(["rep", "n"]), "full-sets")
+    once = stored(with_partners(full.select("rep", "n", F.explode("hashes").alias("token")), join), "sets-1")
+    twice = with_partners(once.select("rep", "n", F.explode("lists.token").alias("token")), join)
+    key_count = (F.size("lists") - least_shared(F.col("n"), join) + 1).cast("int")
     sets = stored(
-        with_partners(again, join).select(
-            "rep", "n", "need", F.array_sort("lists.token").alias("tokens"),
-            F.slice("lists.token", 1, key_count).alias("keys"),
+        twice.select(
+            "rep", "n", F.array_sort("lists.token").alias("tokens"),
+            F.slice("lists.token", F.lit(1), key_count).alias("keys"),
         ),
         "sets-2",
     )
@@ -279,11 +300,6 @@ def links_of(docs: DataFrame, indexed: DataFrame, join: Join) -> DataFrame:
     short, long = lists.where(F.col("size") <= SHORT), lists.where(F.col("size") > SHORT)
     candidates = stored(merged(short), "candidates")
 
-    chosen = sets.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(small(stored(chosen, "chosen"), 2_000_000), "doc_id")
-    full = shingle_sets(texts, join, whole=True).withColumnRenamed("doc_id", "rep")
-    full = stored(full.select("rep", "n", "d1", "d2", "hashes").dropDuplicates(["rep", "n", "d1", "d2"]), "full-sets")
-
     # One candidate per set from the short lists, and the smallest set of each long list.
     best = candidates.where(F.size("candidates") > 0).select(
         F.col("x").alias("a"),
@@ -291,16 +307,15 @@ def links_of(docs: DataFrame, indexed: DataFrame, join: Join) -> DataFrame:
     ).select("a", (-F.col("best.col2")).alias("b"))
     pivots = long.where(F.col("rep") != F.col("pivot")).select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
     tried = stored(best.unionByName(pivots).distinct(), "tried")
-    links = stored(linked(tried, full, join), "links")
+    links = stored(linked(tried, sets, join), "links")
     labels = components(links)
 
     rest = candidates.select(F.col("x").alias("a"), F.explode("candidates.y").alias("b"))
     rest = labelled(rest, labels, "a", "b").where("comp_a <> comp_b").select("a", "b")
-    more = probed(rest, sets, join)
+    found = linked(rest.join(tried, ["a", "b"], "left_anti"), sets, join)
     if not long.isEmpty():
-        more = more.unionByName(block_pairs(long, sets, labels, join))
-    untried = stored(more.join(tried, ["a", "b"], "left_anti").distinct(), "untried")
-    found = stored(linked(untried, full, join), "more-links")
+        found = found.unionByName(block_links(long, sets, labels, join))
+    found = stored(found, "more-links")
     if found.isEmpty():
         return labels
     return components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found))
