@@ -60,9 +60,9 @@ def seeds(df: DataFrame, ident: str) -> DataFrame:
     return rows.select(ident, F.col("col").alias("seed"), pos.alias("pos"))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """key: the document id, null as the smallest integer. Rows that share an id are one document."""
-    return docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))))
+def key() -> Column:
+    """The document id, null as the smallest integer. Rows that share an id are one document."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
 
 
 def best_window(words: Column, item: Column, shift: Column) -> Column:
@@ -96,7 +96,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     reported once. Documents without id are one document. Other columns are ignored.
     """
     ident = docs.schema["doc_id"].dataType
-    docs = keyed(docs).select("__key", "text")
+    docs = docs.select(key().alias("key"), "text")
     items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", "text").distinct()
     item_words = stored(
         items.select("item_id", words_of(F.col("text")).alias("item")).where(F.size("item") >= SHORTEST),
@@ -106,19 +106,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         seeds(items, "item_id").select("item_id", "seed", F.col("pos").alias("item_pos")).distinct(), "seeds"
     )
     shift = (F.col("pos") - F.col("item_pos")).alias("shift")
-    hits = seeds(docs, "__key").join(small(wanted), "seed").select("__key", "item_id", shift).distinct()
+    hits = seeds(docs, "key").join(small(wanted), "seed").select("key", "item_id", shift).distinct()
     hits = stored(hits, "seed-hits")
-    found = docs.join(small(hits), "__key").join(small(item_words), "item_id")
+    found = docs.join(small(hits), "key").join(small(item_words), "item_id")
     best = let(words_of(F.col("text")), lambda w: best_window(w, F.col("item"), F.col("shift")))
     size = F.least(F.lit(WINDOW), F.size("item"))
     need = F.when(F.size("item") >= WINDOW, F.lit(MIN_EQUAL)).otherwise(F.size("item"))
     return (
-        found.select("__key", "item_id", best.alias("best"), size.alias("size"), need.alias("need"))
+        found.select("key", "item_id", best.alias("best"), size.alias("size"), need.alias("need"))
         .where(F.col("best.equal") >= F.col("need"))
-        .groupBy("__key", "item_id")
+        .groupBy("key", "item_id")
         .agg(F.max("best").alias("best"), F.max("size").alias("size"))
         .select(
-            F.when(F.col("__key") != -(2**63), F.col("__key")).cast(ident).alias("doc_id"),
+            F.when(F.col("key") != -(2**63), F.col("key")).cast(ident).alias("doc_id"),
             "item_id",
             F.col("best.equal").cast("long").alias("equal_words"),
             F.col("size").cast("long").alias("window_words"),
@@ -129,8 +129,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no item is found; columns as they are."""
-    bad = stored(keyed(contaminated(docs, benchmark)).select("__key").distinct(), "contaminated")
-    return keyed(docs).join(small(bad), "__key", "left_anti").select(docs.columns)
+    name = "key"
+    while name in docs.columns:
+        name += "_"
+    bad = stored(contaminated(docs, benchmark).select(key().alias(name)).distinct(), "contaminated")
+    return docs.withColumn(name, key()).join(small(bad), name, "left_anti").select(docs.columns)
 
 
 def oracle() -> str:

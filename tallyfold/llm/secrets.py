@@ -161,17 +161,15 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     stay null. Nothing else changes, and no document is dropped.
     """
     names = docs.columns
-    marked = docs.select(*names, F.col("text").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = automaton()
         for batch in batches:
-            (texts,) = columns(batch, "__text")
+            (texts,) = columns(batch, "text")
             new = [None if t is None else redacted(t, found, mark) for t in texts.to_pylist()]
-            kept = batch.select(names)
-            yield kept.set_column(names.index("text"), "text", pa.array(new, texts.type))
+            yield batch.set_column(names.index("text"), "text", pa.array(new, texts.type))
 
-    out = marked.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(run, docs.schema)
     if "n_chars" in names:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
         changed = F.when(F.col("text").isNotNull(), size).otherwise(F.col("n_chars"))
