@@ -44,12 +44,14 @@ def posted_at(text: str | Column, now: str | Column) -> Column:
     amount = F.regexp_extract(wording, AGO, 1).try_cast("bigint")
     sizes = F.create_map(*[F.lit(x) for pair in UNIT_SECONDS.items() for x in pair])
     seconds = F.try_element_at(sizes, F.regexp_extract(wording, AGO, 2)).cast("bigint")
-    # Five digits of months is already 8 000 years; larger amounts are noise, not dates.
-    usable = F.when(amount <= 99999, amount)
+    age = F.try_multiply(amount, seconds)
+    # Only a date before the calendar's first year cannot be given.
+    first = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+    usable = F.when(age <= F.timestamp_diff("SECOND", first, at.cast("timestamp_ntz")), age)
     return (
         F.when(c.isNull() | (c == ""), F.lit(None))
         .when(contains_any(wording, ("just now", "today")), at)
-        .otherwise(F.timestamp_add("SECOND", -usable * seconds, at))
+        .otherwise(F.timestamp_add("SECOND", -usable, at))
     )
 
 

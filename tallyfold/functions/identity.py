@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
-from typing import Any
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -82,10 +80,11 @@ def clean_url(url: str | Column) -> Column:
     return F.substring_index(col(url), "?", 1)
 
 
-def config_hash(config: dict[str, Any]) -> str:
-    """Hash of a configuration document: key order and blanks do not matter."""
-    text = json.dumps(config, sort_keys=True, separators=(",", ":"))
-    return hashlib.sha256(text.encode("utf-8")).hexdigest()
+def config_hash(fields: Mapping[str, str | Column]) -> Column:
+    """Hash of a configuration document: its JSON without blanks, keys in order, nulls written out.
+    Nested values need an order of their own (structs keep theirs)."""
+    document = F.struct(*[col(fields[k]).alias(k) for k in sorted(fields)])
+    return F.sha2(F.to_json(document, {"ignoreNullFields": "false"}), 256)
 
 
 def hash32(*parts: str | Column) -> Column:

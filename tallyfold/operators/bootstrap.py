@@ -1,8 +1,11 @@
-"""Bootstrap intervals of a share, computed from counts instead of resampled rows.
-
-Drawing n rows with replacement and counting the hits is one Binomial(n, k/n) draw, so
-the unweighted interval needs two counts per group, however large the table. Weighted
-shares use one Poisson draw per (cell, replicate), a cell being one value of the weight.
+"""Bootstrap intervals of a share, computed from bucket sums instead of resampled rows.
+
+Every row belongs to one of a fixed number of buckets by a hash of its key. A replicate draws a
+Poisson(1) count for every bucket, from a hash of bucket and replicate, and weighs the bucket's sums
+with it: that is a bootstrap over the buckets, whose interval is that over rows as long as rows are
+dealt independently of the outcome. One aggregation reads the table; what follows is groups x
+buckets x replicates, however large the table is. The draws depend on keys only, so the result does
+not depend on partitions, and any engine with MD5 repeats it.
 """
 
 from __future__ import annotations
@@ -10,8 +13,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,9 @@ from tallyfold.operators.shares import inverse_weight
 SAMPLES = 500
 SEED = 42
 PARTS = 40
+BUCKETS = 1000
+# Larger counts lie below the 32-bit grid of the draws.
+POISSON_MAX = 12
 
 
 def quantile_points(samples: int, parts: int = PARTS) -> tuple[tuple[int, int], tuple[int, int]]:
@@ -46,92 +50,6 @@ def interval(sorted_shares: Column, samples: int) -> tuple[Column, Column]:
     return at(first), at(last)
 
 
-def _binomial_shares(samples: int):
-    @F.pandas_udf("array<double>")
-    def draw(n: pd.Series, k: pd.Series, seed: pd.Series) -> pd.Series:
-        def one(size, hits, start):
-            if size == 0:
-                return np.zeros(samples)
-            rng = np.random.default_rng(int(start))
-            return np.sort(rng.binomial(int(size), hits / size, samples) / size)
-
-        return pd.Series([one(*row) for row in zip(n, k, seed, strict=True)])
-
-    return draw
-
-
-def _poisson_counts(samples: int):
-    @F.pandas_udf("array<bigint>")
-    def draw(n: pd.Series, seed: pd.Series) -> pd.Series:
-        return pd.Series(
-            [np.random.default_rng(int(s)).poisson(c, samples) for c, s in zip(n, seed, strict=True)]
-        )
-
-    return draw
-
-
-def _bounded(observed: Column, shares: Column, samples: int, by: Sequence[str]) -> list:
-    low, high = interval(shares, samples)
-    zero = F.lit(0.0)
-    return [
-        *by,
-        F.coalesce(observed, zero).alias("observed"),
-        F.coalesce(low, zero).alias("lower"),
-        F.coalesce(high, zero).alias("upper"),
-    ]
-
-
-def bootstrap_ci(
-    df: DataFrame,
-    condition: Column,
-    weight: str | None = None,
-    by: Sequence[str] = (),
-    samples: int = SAMPLES,
-    seed: int = SEED,
-) -> DataFrame:
-    """Share of rows meeting `condition` with a 95 % interval; no rows give 0, 0, 0.
-
-    Seeds depend on the group and cell only, so the result does not depend on partitions.
-    """
-    hit = F.coalesce(condition, F.lit(False))
-    if weight is None:
-        counts = df.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(hit).alias("k")
-        )
-        drawn = counts.withColumn(
-            "shares",
-            _binomial_shares(samples)("n", "k", hash32(F.lit(seed), *by)),
-        )
-        observed = F.try_divide(F.col("k"), F.col("n"))
-        return drawn.select(*_bounded(observed, F.col("shares"), samples, by))
-    cells = df.groupBy(*by, hit.alias("hit"), inverse_weight(weight).alias("w")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    mass = F.col("w") * F.col("n")
-    seen = cells.groupBy(*by).agg(
-        F.try_divide(F.sum(F.when(F.col("hit"), mass)), F.sum(mass)).alias("observed")
-    )
-    draws = _poisson_counts(samples)("n", hash32(F.lit(seed), *by, "hit", "w"))
-    replicates = cells.select(*by, "hit", "w", F.posexplode(draws).alias("rep", "m"))
-    drawn_mass = F.col("w") * F.col("m")
-    share = F.try_divide(
-        F.sum(F.when(F.col("hit"), drawn_mass).otherwise(0.0)), F.sum(drawn_mass)
-    )
-    per_rep = replicates.groupBy(*by, "rep").agg(F.coalesce(share, F.lit(0.0)).alias("share"))
-    lists = per_rep.groupBy(*by).agg(F.sort_array(F.collect_list("share")).alias("shares"))
-    if by:
-        joined = seen.join(lists, list(by))
-    else:
-        joined = seen.withColumn("shares", lists.scalar())
-    enough = F.when(F.size("shares") == samples, F.col("shares"))
-    return joined.select(*_bounded(F.col("observed"), enough, samples, by))
-
-
-# --- Hash variant: row-level Poisson(1) draws that any engine with MD5 repeats exactly ---
-
-POISSON_MAX = 12
-
-
 def poisson_steps(bits: int = 32) -> list[int]:
     """Thresholds of the Poisson(1) distribution function on a `bits`-bit integer."""
     total, steps = 0.0, []
@@ -149,31 +67,43 @@ def poisson_one(u: Column) -> Column:
     return draw.otherwise(F.lit(len(steps)))
 
 
-def bootstrap_ci_hash(
+def bootstrap_ci(
     df: DataFrame,
-    key: Sequence[str],
     condition: Column,
+    key: Sequence[str],
+    weight: str | None = None,
     by: Sequence[str] = (),
     samples: int = SAMPLES,
+    seed: int = SEED,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Like `bootstrap_ci`, with draws taken from a hash of the row key and replicate.
+    """Share of rows meeting `condition` with a 95 % interval; no rows give 0, 0, 0.
 
-    The replicates of a row are summed map-side, so `samples` rows per task and group are
-    shuffled; the cost is CPU linear in rows x samples.
+    `key` names the columns that tell rows apart. With `weight`, rows count by its inverse.
     """
     hit = F.coalesce(condition, F.lit(False))
-    columns = list(dict.fromkeys([*by, *key]))
-    reps = df.select(
-        *columns, hit.alias("hit"), F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("rep")
-    ).withColumn("m", poisson_one(hash32(*key, "rep")))
-    per_rep = reps.groupBy(*by, "rep").agg(
-        F.sum("m").alias("n"), F.sum(F.when(F.col("hit"), F.col("m")).otherwise(0)).alias("k"),
-        F.count(F.lit(1)).alias("rows"), F.count_if("hit").alias("hits"),
+    one = F.lit(1.0) if weight is None else inverse_weight(weight)
+    cells = df.groupBy(*by, (hash32(F.lit(seed), *key) % buckets).alias("_bucket")).agg(
+        F.sum(one).alias("_all"), F.sum(F.when(hit, one).otherwise(0.0)).alias("_hit")
+    )
+    draws = cells.withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))).withColumn(
+        "_m", poisson_one(hash32(F.lit(seed), "_bucket", "_rep"))
     )
-    share = F.coalesce(F.try_divide(F.col("k"), F.col("n")), F.lit(0.0))
+    drawn = F.try_divide(F.sum(F.col("_m") * F.col("_hit")), F.sum(F.col("_m") * F.col("_all")))
+    per_rep = draws.groupBy(*by, "_rep").agg(
+        F.coalesce(drawn, F.lit(0.0)).alias("_share"),
+        F.try_divide(F.sum("_hit"), F.sum("_all")).alias("_observed"),
+    )
+    # As many entries as replicates.
     lists = per_rep.groupBy(*by).agg(
-        F.sort_array(F.collect_list(share)).alias("shares"),
-        F.max(F.try_divide(F.col("hits"), F.col("rows"))).alias("observed"),
+        F.sort_array(F.collect_list("_share")).alias("_shares"), F.max("_observed").alias("_observed")
+    )
+    enough = F.when(F.size("_shares") == samples, F.col("_shares"))
+    low, high = interval(enough, samples)
+    zero = F.lit(0.0)
+    return lists.select(
+        *by,
+        F.coalesce("_observed", zero).alias("observed"),
+        F.coalesce(low, zero).alias("lower"),
+        F.coalesce(high, zero).alias("upper"),
     )
-    enough = F.when(F.size("shares") == samples, F.col("shares"))
-    return lists.select(*_bounded(F.col("observed"), enough, samples, by))

@@ -25,10 +25,17 @@ def canonical_with_frame(
     return canonical.join(frame.select("query_id", *columns), "query_id", "left")
 
 
+def best_listings(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The best row of each job: as stored under this name, or reduced here."""
+    if "best_listings" in tables:
+        return tables["best_listings"]
+    return dedupe_best(tables["listing_snapshots"])
+
+
 def canonical_jobs(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The 29-column export row: best snapshot, frame, detail, labels and discovery paths."""
     listings, frame = tables["listing_snapshots"], tables["search_queries"]
-    best = dedupe_best(listings).select(
+    best = best_listings(tables).select(
         *JOB, "query_id", "url", "title", "company", "location", "posted_text", "posted_at"
     )
     frame_side = frame.select(
@@ -77,9 +84,16 @@ def pending_details(
 
 def frame_coverage(frame: DataFrame, listings: DataFrame) -> DataFrame:
     """Distinct jobs per run and city of the frame, cities without any included."""
-    found = listings.select("query_id", "job_id").distinct()
-    joined = frame.select("run_id", "query_id", "city_key").join(found, "query_id", "left")
-    return joined.groupBy("run_id", "city_key").agg(F.count_distinct("job_id").alias("jobs"))
+    searches = frame.select("query_id", "run_id", "city_key")
+    found = listings.select("query_id", "job_id").join(searches, "query_id")
+    # The facts are shuffled once; what follows is as small as the frame.
+    counts = found.select("run_id", "city_key", "job_id").distinct().groupBy(
+        F.col("run_id").alias("_run"), F.col("city_key").alias("_city")
+    ).agg(F.count("job_id").alias("jobs"))
+    same = F.col("run_id").eqNullSafe(F.col("_run")) & F.col("city_key").eqNullSafe(F.col("_city"))
+    return searches.select("run_id", "city_key").distinct().join(counts, same, "left").select(
+        "run_id", "city_key", F.coalesce("jobs", F.lit(0)).alias("jobs")
+    )
 
 
 def expected_cities(runs: DataFrame, coverage: DataFrame, cities: Sequence[tuple[str, str]]):

@@ -106,22 +106,21 @@ def quality_issues(
 
     single: list[tuple[Column, Column]] = [
         (raw == 0, _issue(listings, "error", "no_listings",
-                          "No listing snapshots collected.", _details()))
+                          "This run holds no listings at all.", _details()))
     ]
     for f in REQUIRED:
         rate = F.try_divide(F.col(f"missing_{f}"), raw)
         single.append(
             (over(f"missing_{f}", "raw_snapshots", limits.missing_rate),
              _issue(listings, "warning", f"high_null_{f}",
-                    F.format_string(f"{f} missing rate is %.1f%%.", rate * 100.0),
+                    F.format_string(f"%.1f%% of the listings lack a value in {f}.", rate * 100.0),
                     _details(("missing", F.col(f"missing_{f}")), ("total", raw))))
         )
     spare = raw - F.col("canonical_jobs")
     single.append(
         ((F.col("canonical_jobs") > 0) & (spare > 0),
          _issue(listings, "info", "discovery_overlap_deduped",
-                "Overlapping queries discovered the same jobs; reports and canonical exports"
-                " count each job ID once.",
+                "Several searches led to the same job; it is counted once.",
                 _details("raw_snapshots", "canonical_jobs",
                          ("duplicate_discovery_paths", spare))))
     )
@@ -130,35 +129,33 @@ def quality_issues(
         small if check_cities else F.slice(small, 1, 0),
         lambda c: _issue(
             queries, "warning", "low_city_sample",
-            F.concat(c["city_name"], F.lit(f" has fewer than {limits.city_jobs} unique jobs.")),
+            F.concat(F.lit(f"Sample below {limits.city_jobs} jobs in "), c["city_name"]),
             _details(("city_key", c["city_key"]), ("jobs", c["jobs"])),
         ),
     )
     later = [
         (over("zero_queries", "query_count", limits.zero_rate),
          _issue(queries, "warning", "many_zero_result_queries",
-                f"More than {limits.zero_rate:.0%} of queries returned zero parsed jobs.",
+                f"Empty searches exceed {limits.zero_rate:.0%}.",
                 _details("zero_queries", "query_count"))),
         (classified == 0,
          _issue(labels, "warning", "no_classifications",
-                "No classifications have been generated.", _details())),
+                "Nothing has been labelled yet.", _details())),
         (over("executive", "classified", limits.executive_share),
          _issue(labels, "warning", "executive_share_spike",
-                f"Executive share is above {limits.executive_share:.0%}; inspect title rules"
-                " and query bias.",
+                f"Executives exceed {limits.executive_share:.0%} of the labels.",
                 _details("executive", ("total", classified)))),
         ((classified > 0) & (F.col("product_program") == 0),
          _issue(labels, "warning", "missing_product_program",
-                "No Product or Program jobs classified; likely query or classifier issue.",
+                "Labels of the product and program families are absent: check searches and rules.",
                 _details())),
         (over("other", "classified", limits.other_share),
          _issue(labels, "warning", "high_other_share",
-                f"Other role share is above {limits.other_share:.0%}; taxonomy may be"
-                " underfitting.",
+                f"Unassigned roles exceed {limits.other_share:.0%} of the labels.",
                 _details("other", ("total", classified)))),
         (F.col("date_violations") > 0,
          _issue(listings, "warning", "date_window_violations",
-                "Some parsed posting dates fall outside the configured time window.",
+                "Listings older than the window are present.",
                 _details(("violations", F.col("date_violations"))))),
     ]
 

@@ -122,6 +122,8 @@ def page_loop_stop(pages: DataFrame, found: str = "n") -> DataFrame:
         F.sum(found).alias("result_count"), F.max("page").alias("pages_collected")
     )
 
+MAX_BROADCAST = 100_000
+
 
 def quota_gap(df: DataFrame, stratum: str, weights: Mapping[str, float], total: int) -> DataFrame:
     """Rows still wanted per stratum: floor(total x weight) less the rows at hand."""
@@ -144,7 +146,8 @@ def capped_sample(
     Ranking a whole stratum would put a third of the table into one sort. Instead a
     histogram over 2^12 hash ranges, combined map-side, finds the range in which the quota
     is reached: lower ranges are taken as they are, and only the rows of that one range
-    are ranked.
+    are ranked. Strata without a quota row are left out. The plan has one row per quota; a list of
+    quotas beyond MAX_BROADCAST rows is joined by a shuffle.
     """
     draws = df.withColumn("_h", hash32(F.lit(seed), key)).withColumn(
         "_b", F.shiftright("_h", HASH_BITS - BUCKET_BITS)
@@ -156,15 +159,17 @@ def capped_sample(
     edges = counts.join(limits, F.col(stratum) == F.col("_s")).withColumn(
         "_before", F.sum("_c").over(running) - F.col("_c")
     )
-    plan = edges.where(F.col("_before") < F.col("_q")).select(
-        F.col("_s"), F.col("_b").alias("_pb"), (F.col("_q") - F.col("_before")).alias("_room"),
-        F.col("_c"),
-    )
-    chosen = draws.join(plan, (F.col(stratum) == F.col("_s")) & (F.col("_b") == F.col("_pb")))
-    whole = chosen.where(F.col("_c") <= F.col("_room"))
-    partial = chosen.where(F.col("_c") > F.col("_room"))
+    # One row per stratum: the range in which the quota is reached and the room left in it.
+    plan = edges.where(F.col("_before") < F.col("_q")).groupBy(F.col("_s")).agg(
+        F.max(F.struct(F.col("_b").alias("edge"), (F.col("_q") - F.col("_before")).alias("room"))).alias("_e")
+    ).select("_s", "_e.edge", "_e.room")
+    if quotas.count() <= MAX_BROADCAST:
+        plan = F.broadcast(plan)
+    chosen = draws.join(plan, F.col(stratum) == F.col("_s"))
+    whole = chosen.where(F.col("_b") < F.col("edge"))
+    partial = chosen.where(F.col("_b") == F.col("edge"))
     rank = F.row_number().over(Window.partitionBy(stratum).orderBy("_h", key))
-    cut = partial.withColumn("_r", rank).where(F.col("_r") <= F.col("_room"))
+    cut = partial.withColumn("_r", rank).where(F.col("_r") <= F.col("room"))
     return whole.select(*df.columns).unionByName(cut.select(*df.columns))
 
 

@@ -19,10 +19,11 @@ def upsert_by_key(
     version: str | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Last write wins per key.
+    """Last write wins per key; `current` holds one row per key.
 
     `version` orders several incoming rows of one key (incoming beats current regardless).
-    `keep` names columns that an update must not touch; a new row takes its own value.
+    `keep` names columns that an update must not touch; a new row takes its own value. Columns
+    that the batch does not have keep their values as well.
     """
     order = [F.desc("_batch")]
     if version:
@@ -36,17 +37,17 @@ def upsert_by_key(
     if hashable:
         order.append(F.xxhash64(*hashable).asc())
     fresh = first_per_key(incoming.withColumn("_batch", F.lit(1)), keys, order).drop("_batch")
-    if not keep:
-        both = current.withColumn("_batch", F.lit(0)).unionByName(
-            incoming.withColumn("_batch", F.lit(1)), allowMissingColumns=True
-        )
-        return first_per_key(both, keys, order).drop("_batch")
+    if not keep and set(current.columns) <= set(incoming.columns):
+        # Whatever the batch names is replaced whole: the stored rows are only filtered.
+        named = fresh.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+        return current.join(named, same, "left_anti").unionByName(fresh, allowMissingColumns=True)
     new = fresh.withColumn("_hit", F.lit(True))
     for k in keys:
         new = new.withColumnRenamed(k, f"_k_{k}")
     for c in payload:
         new = new.withColumnRenamed(c, f"_n_{c}")
-    on = [current[k] == new[f"_k_{k}"] for k in keys]
+    on = [current[k].eqNullSafe(new[f"_k_{k}"]) for k in keys]
     old = current.withColumn("_old", F.lit(True))
     joined = old.join(new, on, "full_outer")
     out = [F.coalesce(F.col(k), F.col(f"_k_{k}")).alias(k) for k in keys]
@@ -63,11 +64,15 @@ def upsert_by_key(
 def insert_if_absent(
     dim: DataFrame, incoming: DataFrame, value: str, seen_at: str, key: str = "key"
 ) -> DataFrame:
-    """Dimension after adding unknown values; the earliest spelling of a key is kept."""
+    """Dimension after adding unknown values; the earliest spelling of a key is kept, undated ones
+    last."""
     named = incoming.where(F.col(value).isNotNull() & (clean_text(value) != ""))
     spelling = F.trim(F.col(value))
     first = named.groupBy(norm_text(value).alias(key)).agg(
-        F.min(F.struct(F.col(seen_at).alias("at"), spelling.alias("name"))).alias("f")
+        F.min(F.struct(
+            F.col(seen_at).isNull().alias("undated"), F.col(seen_at).alias("at"),
+            spelling.alias("name"),
+        )).alias("f")
     )
     found = first.select(
         key, F.col("f.name").alias("canonical_name"), F.col("f.at").alias("first_seen_at")

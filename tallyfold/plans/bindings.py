@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.facts import detail_confidence, infer_workplace, posted_at
 from tallyfold.functions.facts import salary_range, skills
-from tallyfold.functions.identity import VIEW_BASE
+from tallyfold.functions.identity import VIEW_BASE, config_hash
 from tallyfold.functions.rules import pick
+from tallyfold.operators.dedupe import dedupe_best
 from tallyfold.operators.quality import quality_issues, quality_metrics
 from tallyfold.plans.market import classify_run
-from tallyfold.sources.readers import spread
+from tallyfold.schemas import TABLES
+from tallyfold.session import stored
 
 RUN_SPLIT = "2024-01-16 00:00:00"
 WINDOW_DAYS = 7
@@ -67,13 +69,8 @@ PHRASES = (
 EMPLOYMENT = ("Full-time", "Part-time", "Contract")
 
 
-# Tables whose rows cost enough to be worth spreading over idle cores.
-COSTLY = ("documents", "events", "pages")
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in COSTLY else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def title_for(key: Column) -> Column:
@@ -98,7 +95,9 @@ def v_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = F.col("user_id").cast("string")
     text = F.concat(
         F.when(k % 10 == 7, F.lit("Reposted ")).otherwise(F.lit("")),
-        (k % 30 + 1).cast("string"), F.lit(" "), pick(k % len(UNITS), UNITS), F.lit("s ago"),
+        F.when(k == 17, (F.col("event_id") % 900000 + 100000).cast("string"))
+        .when(k == 18, F.lit("12345678901234567")).otherwise((k % 30 + 1).cast("string")),
+        F.lit(" "), pick(k % len(UNITS), UNITS), F.lit("s ago"),
     )
     posted = (
         F.when(k == 13, F.lit("Just now")).when(k == 14, F.lit("30+ days ago"))
@@ -132,9 +131,13 @@ def v_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame_of(v_listings(spark, sf_dir))
+
+
+def frame_of(listings: DataFrame) -> DataFrame:
     k7 = F.col("k7")
     found = (
-        v_listings(spark, sf_dir)
+        listings
         .groupBy("run_id", "query_id", "event_type", (F.col("k") % 7).alias("k7"))
         .agg(F.count(F.lit(1)).cast("int").alias("rows"), F.max("page").alias("last_page"))
     )
@@ -200,12 +203,16 @@ def v_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def v_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs that occur, and one that collected nothing."""
-    found = v_listings(spark, sf_dir).groupBy("run_id").agg(F.min("scraped_at").alias("started_at"))
+    return runs_of(v_listings(spark, sf_dir))
+
+
+def runs_of(listings: DataFrame) -> DataFrame:
+    found = listings.groupBy("run_id").agg(F.min("scraped_at").alias("started_at"))
     empty = found.agg(F.min("started_at").alias("started_at")).select(
         F.lit("run_empty").alias("run_id"), "started_at"
     )
     return found.unionByName(empty).select(
-        "run_id", F.sha2("run_id", 256).alias("config_hash"), F.lit("1").alias("code_version"),
+        "run_id", config_hash({"run": "run_id"}).alias("config_hash"), F.lit("1").alias("code_version"),
         F.lit("running").alias("status"), F.lit("postings").alias("target_population"),
         F.lit("{}").alias("config_json"), "started_at",
         F.lit(None).cast("timestamp_ntz").alias("ended_at"),
@@ -222,19 +229,21 @@ def dimension(listings: DataFrame, value: str, key: str) -> DataFrame:
 
 
 class JobTables(Mapping):
-    """Pipeline tables by name; each is planned when it is first asked for."""
+    """Pipeline tables by name; each is written below the shared folder when it is first asked for,
+    so that reports which use a table many times compute it once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._made: dict[str, DataFrame] = {}
         self._makers: dict[str, Callable[[], DataFrame]] = {
-            "search_runs": lambda: v_runs(spark, sf_dir),
-            "search_queries": lambda: v_frame(spark, sf_dir),
+            "search_runs": lambda: runs_of(self["listing_snapshots"]),
+            "search_queries": lambda: frame_of(self["listing_snapshots"]),
             "listing_snapshots": lambda: v_listings(spark, sf_dir),
             "job_details": lambda: v_details(spark, sf_dir),
             "companies": lambda: dimension(self["listing_snapshots"], "company", "company_key"),
             "locations": lambda: dimension(self["listing_snapshots"], "location", "location_key"),
             "classifications": lambda: classify_run(self),
             "quality_issues": self._issues,
+            "best_listings": lambda: dedupe_best(self["listing_snapshots"]),
         }
 
     def _issues(self) -> DataFrame:
@@ -245,14 +254,15 @@ class JobTables(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = self._makers[name]()
+            self._made[name] = stored(self._makers[name](), name)
         return self._made[name]
 
     def __iter__(self) -> Iterator[str]:
-        return iter(self._makers)
+        """The pipeline tables; the best listings are no table of their own."""
+        return iter(TABLES)
 
     def __len__(self) -> int:
-        return len(self._makers)
+        return len(TABLES)
 
 
 def job_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:

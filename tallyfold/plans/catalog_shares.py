@@ -47,16 +47,19 @@ def weighted_shares(spark, sf):
 @query("weighted_shares_orders", f"""
     SELECT segment, n, round(weighted, 9) AS weighted,
            round(weighted / sum(weighted) OVER (), 9) AS share
-    FROM (SELECT o_orderpriority AS segment, count(*) AS n,
-                 sum({iw('(c_acctbal / 1000.0::DOUBLE)')}) AS weighted
-          FROM orders JOIN customer ON c_custkey = o_custkey
-          WHERE c_acctbal > 100 GROUP BY 1)""")
+    FROM (SELECT o_orderpriority AS segment, count(*) AS n, sum({iw('w')}) AS weighted
+          FROM orders LEFT JOIN (SELECT c_custkey, CASE WHEN c_acctbal > 1000 THEN c_acctbal / 1000.0::DOUBLE
+                                        WHEN c_acctbal > 0 THEN 0.0::DOUBLE END AS w FROM customer)
+               ON c_custkey = o_custkey
+          GROUP BY 1)""")
 def weighted_shares_orders(spark, sf):
-    orders, customers = b.load(spark, sf, "orders"), b.load(spark, sf, "customer")
-    solvent = customers.where(F.col("c_acctbal") > 100).select(
-        "c_custkey", (F.col("c_acctbal") / 1000.0).alias("w")
+    """Every order, by its customer's balance; a small one gives weight 0 and a debt none."""
+    balance = F.col("c_acctbal")
+    weights = b.load(spark, sf, "customer").select(
+        F.col("c_custkey").alias("o_custkey"),
+        F.when(balance > 1000, balance / 1000.0).when(balance > 0, F.lit(0.0)).alias("w"),
     )
-    joined = orders.join(solvent, F.col("o_custkey") == F.col("c_custkey"))
+    joined = b.load(spark, sf, "orders").join(weights, "o_custkey", "left")
     return sh.weighted_shares(joined, "o_orderpriority", "w")
 
 
@@ -73,16 +76,21 @@ def required_missing(spark, sf):
     return pf.required_missing(b.v_listings(spark, sf), by=["run_id"])
 
 
-PROFILED = ("event_id", "company", "location", "posted_text", "posted_at", "title")
+PROFILED = (
+    "snapshot_id", "run_id", "query_id", "job_id", "url", "title", "company", "location",
+    "posted_text", "posted_at", "page", "rank", "raw_snapshot_path", "content_sha256",
+    "parser_confidence", "scraped_at", "extraction_status", "event_id", "event_type", "user_id", "k",
+)
+CONSTANT = {"raw_snapshot_path": "NULL", "content_sha256": "NULL", "extraction_status": "'complete'"}
 
 
 @query("null_profile", "UNION ALL".join(f"""
-    SELECT '{c}' AS field, count({c}) AS non_null,
-           round((count(*) - count({c})) * 100.0::DOUBLE / count(*), 9) AS null_pct
+    SELECT '{c}' AS field, count({CONSTANT.get(c, c)}) AS non_null,
+           round((count(*) - count({CONSTANT.get(c, c)})) * 100.0::DOUBLE / count(*), 9) AS null_pct
     FROM v_listings
     """ for c in PROFILED), "v_listings")
 def null_profile(spark, sf):
-    return pf.null_profile(b.v_listings(spark, sf).select(*PROFILED))
+    return pf.null_profile(b.v_listings(spark, sf))
 
 
 @query("ui_text_filter", """
@@ -447,12 +455,21 @@ def ratio_metric(spark, sf):
 @query("search_log", """
     SELECT query_id, city_name, location, keyword, experience_key,
            count(snapshot_id) AS jobs_found, coalesce(max(page), 0) AS pages_scraped
-    FROM (SELECT f.*, l.snapshot_id, l.page FROM v_frame f LEFT JOIN
-          (SELECT * FROM v_listings WHERE parser_confidence >= 0.99) l USING (query_id))
+    FROM (SELECT f.*, l.snapshot_id, l.page FROM (
+              SELECT query_id, city_name, location, keyword, experience_key FROM v_frame
+              UNION ALL SELECT DISTINCT run_id || '-nowhere-0', 'City nowhere', NULL, 'kw0', 'level0' FROM v_frame) f
+          LEFT JOIN v_listings l USING (query_id))
     GROUP BY ALL""", ("v_frame", "v_listings"))
 def search_log(spark, sf):
-    sure = b.v_listings(spark, sf).where(F.col("parser_confidence") >= 0.99)
-    return ov.search_log(b.v_frame(spark, sf), sure)
+    """All listings; one search of each run found nothing."""
+    listings = b.v_listings(spark, sf)
+    frame = b.frame_of(listings).select("run_id", "query_id", "city_name", "location", "keyword", "experience_key")
+    empty = frame.select("run_id").distinct().select(
+        "run_id", F.concat("run_id", F.lit("-nowhere-0")).alias("query_id"),
+        F.lit("City nowhere").alias("city_name"), F.lit(None).cast("string").alias("location"),
+        F.lit("kw0").alias("keyword"), F.lit("level0").alias("experience_key"),
+    )
+    return ov.search_log(frame.unionByName(empty), listings)
 
 
 CITY_WEIGHTS = {"click": 0.35, "error": 0.2, "purchase": 0.2, "signup": 0.15, "view": 0.1,
@@ -519,38 +536,48 @@ def page_loop_stop(spark, sf):
     )
 
 
-@query("bootstrap_ci")
+POISSON_SQL = "CASE " + " ".join(
+    f"WHEN u < {limit} THEN {k}" for k, limit in enumerate(bs.poisson_steps())
+) + f" ELSE {len(bs.poisson_steps())} END"
+
+
+def interval_sql(source: str, hit: str, weight: str, *key: str) -> str:
+    """run_id, observed, lower, upper by bucket sums and hash draws."""
+    return f"""
+    SELECT run_id, round(max(seen), 9) AS observed,
+           round(max((19 * s[12] + 21 * s[13]) / 40.0::DOUBLE), 9) AS lower,
+           round(max((21 * s[488] + 19 * s[489]) / 40.0::DOUBLE), 9) AS upper
+    FROM (SELECT run_id, list_sort(list(share)) AS s, max(seen) AS seen FROM (
+        SELECT run_id, rep, coalesce(sum(m * k) / nullif(sum(m * n), 0), 0.0) AS share,
+               sum(k) / sum(n) AS seen
+        FROM (SELECT *, {POISSON_SQL} AS m FROM (
+            SELECT *, {hash32('42', 'bucket', 'rep')} AS u FROM (
+                SELECT run_id, {hash32('42', *key)} % {bs.BUCKETS} AS bucket, sum({weight}) AS n,
+                       coalesce(sum({weight}) FILTER ({hit}), 0) AS k
+                FROM {source} GROUP BY 1, 2), (SELECT unnest(range(0, 500)) AS rep)))
+        GROUP BY 1, 2) GROUP BY 1) GROUP BY 1"""
+
+
+AI = "role_family = 'AI/ML'"
+
+
+@query("bootstrap_ci", interval_sql("v_jobs", AI, "1.0::DOUBLE", "job_id"), "v_jobs")
 def bootstrap_ci(spark, sf):
-    """Random draws: checked for its properties in the tests, not against SQL."""
-    return bs.bootstrap_ci(jobs_of(spark, sf), F.col("role_family") == "AI/ML", by=["run_id"])
+    return bs.bootstrap_ci(jobs_of(spark, sf), F.col("role_family") == "AI/ML", ["job_id"], by=["run_id"])
 
 
-@query("bootstrap_ci_weighted")
+@query("bootstrap_ci_weighted", interval_sql("v_jobs", AI, iw("target_weight"), "job_id"), "v_jobs")
 def bootstrap_ci_weighted(spark, sf):
     return bs.bootstrap_ci(
-        jobs_of(spark, sf), F.col("role_family") == "AI/ML", "target_weight", by=["run_id"]
+        jobs_of(spark, sf), F.col("role_family") == "AI/ML", ["job_id"], "target_weight", ["run_id"]
     )
 
 
-POISSON_SQL = "CASE " + " ".join(
-    f"WHEN u < {limit} THEN {k}" for k, limit in enumerate(bs.poisson_steps())
-) + f" ELSE {len(bs.poisson_steps())} END"
-
-
-@query("bootstrap_ci_hash", f"""
-    SELECT run_id, observed, round((19 * s[12] + 21 * s[13]) / 40.0::DOUBLE, 9) AS lower,
-           round((21 * s[488] + 19 * s[489]) / 40.0::DOUBLE, 9) AS upper
-    FROM (SELECT run_id, list_sort(list(share)) AS s, round(max(hits / n), 9) AS observed FROM (
-        SELECT run_id, rep, coalesce(sum(CASE WHEN hit THEN m ELSE 0 END) / sum(m), 0.0) AS share,
-               count(*) AS n, count(*) FILTER (hit) AS hits
-        FROM (SELECT *, {POISSON_SQL} AS m FROM (
-            SELECT run_id, rep, role_family = 'AI/ML' AS hit,
-                   {hash32('run_id', 'job_id', 'rep')} AS u
-            FROM v_jobs CROSS JOIN (SELECT unnest(range(0, 500)) AS rep)))
-        GROUP BY 1, 2) GROUP BY 1)""", "v_jobs")
+@query("bootstrap_ci_hash", interval_sql("v_jobs", AI, "1.0::DOUBLE", "run_id", "job_id"), "v_jobs")
 def bootstrap_ci_hash(spark, sf):
-    return bs.bootstrap_ci_hash(
-        jobs_of(spark, sf), ["run_id", "job_id"], F.col("role_family") == "AI/ML", ["run_id"]
+    """Buckets by run and job, so that a job's place differs between runs."""
+    return bs.bootstrap_ci(
+        jobs_of(spark, sf), F.col("role_family") == "AI/ML", ["run_id", "job_id"], by=["run_id"]
     )
 
 
@@ -702,6 +729,10 @@ OVERLAP_LINES = " UNION ALL ".join(
 )
 
 
+AI_INTERVAL = interval_sql("v_jobs", AI, "1.0::DOUBLE", "job_id")
+ENTRY_INTERVAL = interval_sql("v_jobs", "seniority = 'Entry'", "1.0::DOUBLE", "job_id")
+
+
 @query("market_report", f"""
     SELECT * FROM (WITH j AS (
         SELECT run_id, coalesce(role_family, 'Unknown') AS role_family,
@@ -711,13 +742,20 @@ OVERLAP_LINES = " UNION ALL ".join(
     o AS (SELECT run_id, sum(n) AS raw, count(*) AS jobs, avg(n) AS av, max(n) AS mx
           FROM (SELECT run_id, job_id, count(*) AS n FROM v_listings GROUP BY 1, 2) GROUP BY 1)
     {REPORT_SECTIONS} UNION ALL {OVERLAP_LINES}
-    UNION ALL SELECT run_id, 'quality', 'actionable', '', count(*), NULL, NULL
-    FROM v_issues WHERE severity <> 'info' GROUP BY run_id)""", ("v_jobs", "v_issues"))
+    UNION ALL SELECT run_id, 'interval', metric, bound, NULL, value, NULL FROM (
+        UNPIVOT (SELECT 'ai_share' AS metric, * FROM ({AI_INTERVAL})
+                 UNION ALL SELECT 'entry_share', * FROM ({ENTRY_INTERVAL}))
+        ON observed, lower, upper INTO NAME bound VALUE value)
+    UNION ALL SELECT r.run_id, 'quality', 'actionable', '', count(i.run_id), NULL, NULL
+    FROM v_runs r LEFT JOIN (SELECT run_id FROM v_issues WHERE severity <> 'info') i
+         ON i.run_id = r.run_id GROUP BY 1)""", ("v_jobs", "v_issues"))
 def market_report(spark, sf):
     return mk.market_report(b.job_tables(spark, sf))
 
 
-@query("report_intervals")
+@query("report_intervals", f"""
+    SELECT 'ai_share' AS metric, * FROM ({AI_INTERVAL})
+    UNION ALL SELECT 'entry_share', * FROM ({ENTRY_INTERVAL})""", "v_jobs")
 def report_intervals(spark, sf):
     return mk.report_intervals(jobs_of(spark, sf))
 
@@ -815,7 +853,12 @@ def ai_deep_dive(spark, sf):
     )
 
 
-@query("run_progress", """
+PROGRESS = ("listing_snapshots", "unique_jobs", "pending_details", "job_details", "classifications",
+            "quality_issues", "queries_pending", "queries_complete", "queries_failed")
+
+
+@query("run_progress", f"""
+    SELECT * FROM (WITH lines AS (
     SELECT run_id, 'queries_' || coalesce(status, '') AS metric, count(*) AS value
     FROM v_frame GROUP BY 1, 2
     UNION ALL SELECT run_id, 'unique_jobs', count(*) FROM v_best GROUP BY 1
@@ -825,10 +868,16 @@ def ai_deep_dive(spark, sf):
     UNION ALL SELECT run_id, 'listing_snapshots', count(*) FROM v_listings GROUP BY 1
     UNION ALL SELECT run_id, 'job_details', count(*) FROM v_docs GROUP BY 1
     UNION ALL SELECT run_id, 'classifications', count(*) FROM v_class GROUP BY 1
-    UNION ALL SELECT run_id, 'quality_issues', count(*) FROM v_issues GROUP BY 1""",
-    ("v_docs", "v_issues"))
+    UNION ALL SELECT run_id, 'quality_issues', count(*) FROM v_issues GROUP BY 1),
+    wanted AS (SELECT run_id, metric FROM v_runs,
+               (SELECT unnest([{', '.join(map(q, PROGRESS))}]) AS metric))
+    SELECT run_id, metric, '' AS detail, coalesce(value, 0) AS value
+    FROM wanted FULL JOIN lines USING (run_id, metric)
+    UNION ALL SELECT run_id, 'failed_sample', coalesce(last_error, ''), count(*)
+    FROM v_frame WHERE status = 'failed' GROUP BY 1, 3)""",
+    ("v_docs", "v_issues", "v_runs"))
 def run_progress(spark, sf):
-    scalar = ("listing_snapshots", "job_details", "classifications", "quality_issues")
+    scalar = ("job_details", "classifications", "quality_issues")
     return mk.run_progress(b.job_tables(spark, sf), scalar)
 
 

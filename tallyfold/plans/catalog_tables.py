@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyfold.functions.identity import config_hash, hash32
 from tallyfold.functions.text import json_fields
 from tallyfold.operators import dedupe as dd
 from tallyfold.operators import sampling as sm
@@ -12,7 +13,7 @@ from tallyfold.operators.classify import classify_jobs
 from tallyfold.operators.quality import quality_issues, quality_metrics
 from tallyfold.plans import bindings as b
 from tallyfold.plans import taxonomy as tx
-from tallyfold.plans.oracle_views import clean, norm, q, role_sql
+from tallyfold.plans.oracle_views import clean, hash32 as hash32_sql, norm, q, role_sql
 from tallyfold.plans.registry import query
 from tallyfold.schemas import LISTING_SNAPSHOTS, TABLES
 from tallyfold.session import scratch_path
@@ -37,14 +38,16 @@ def read_tables(spark, sf):
 
 
 @query("read_snapshots", """
-    SELECT 'search/' || page_id || '_' || substr(sha256(html), 1, 12) || '.html' AS path,
-           sha256(html) AS content_sha256, length(html) AS n_chars
+    SELECT page_id, sha256(html || chr(10)) AS content_sha256, length(html) + 1 AS n_chars
     FROM pages""")
 def read_snapshots(spark, sf):
-    digest = F.sha2("html", 256)
-    return b.load(spark, sf, "pages").select(
-        rd.snapshot_name("search", F.col("page_id"), digest).alias("path"),
-        digest.alias("content_sha256"), F.length("html").cast("bigint").alias("n_chars"),
+    """Every page as a file (the text writer ends it with a line feed), read back."""
+    path = scratch_path(spark, "page_files")
+    pages = b.load(spark, sf, "pages").select("page_id", F.col("html").alias("value"))
+    pages.write.partitionBy("page_id").text(path)
+    return rd.read_snapshots(spark, f"{path}/*/*.txt").select(
+        F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("bigint").alias("page_id"),
+        "content_sha256", F.length("html").cast("bigint").alias("n_chars"),
     )
 
 
@@ -209,28 +212,37 @@ def page_plan(spark, sf):
     return sm.page_plan(b.v_frame(spark, sf), 4)
 
 
-@query("export_run", f"""
-    SELECT 'search_runs' AS table_name, count(*) AS n FROM v_runs
-    UNION ALL SELECT 'search_queries', count(*) FROM v_frame
-    UNION ALL SELECT 'listing_snapshots', count(*) FROM v_listings
-    UNION ALL SELECT 'job_details', count(*) FROM v_details
-    UNION ALL SELECT 'companies', count(DISTINCT {norm('company')}) FROM v_listings
-        WHERE {clean('company')} <> ''
-    UNION ALL SELECT 'locations', count(DISTINCT {norm('location')}) FROM v_listings
-        WHERE {clean('location')} <> ''
-    UNION ALL SELECT 'classifications', count(*) FROM v_class
-    UNION ALL SELECT 'quality_issues', count(*) FROM v_issues
-    UNION ALL SELECT 'canonical_jobs', count(*) FROM v_best""",
-    ("v_details", "v_issues"))
+# Columns that the content hash of an exported table covers; none of them is ever NULL.
+EXPORTED = {
+    "search_runs": ("v_runs", ("run_id",)),
+    "search_queries": ("v_frame", ("query_id", "keyword")),
+    "listing_snapshots": ("v_listings", ("snapshot_id", "job_id")),
+    "job_details": ("v_details", ("job_id", "workplace_type")),
+    "companies": (
+        f"(SELECT DISTINCT {norm('company')} AS company_key FROM v_listings WHERE {clean('company')} <> '')",
+        ("company_key",),
+    ),
+    "locations": (
+        f"(SELECT DISTINCT {norm('location')} AS location_key FROM v_listings WHERE {clean('location')} <> '')",
+        ("location_key",),
+    ),
+    "classifications": ("v_class", ("job_id", "role_family")),
+    "quality_issues": ("v_issues", ("issue_id", "severity")),
+    "canonical_jobs": ("v_best", ("job_id", "url")),
+}
+
+
+@query("export_run", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n, sum({hash32_sql(*columns)})::BIGINT AS content FROM {view}"
+    for name, (view, columns) in EXPORTED.items()), ("v_details", "v_issues"))
 def export_run(spark, sf):
     root = scratch_path(spark, "export")
-    tables = {n: t.select(*TABLES[n].fieldNames()) for n, t in b.job_tables(spark, sf).items()}
-    paths = wr.export_run(tables, root)
+    paths = wr.export_run(b.job_tables(spark, sf), root)
     counts = [
-        spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(p.rsplit("/", 1)[1]).alias("table_name"), "n"
-        )
-        for p in paths
+        spark.read.parquet(path).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(hash32(*EXPORTED[name][1])).alias("content")
+        ).select(F.lit(name).alias("table_name"), "n", "content")
+        for path in paths for name in [path.rsplit("/", 1)[1]]
     ]
     return dd.union_batches(*counts)
 
@@ -382,15 +394,12 @@ def run_guard(spark, sf):
            AS config_hash
     FROM region JOIN (SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1)
          ON n_regionkey = r_regionkey""")
-def config_hash(spark, sf):
-    """Hash of a canonical JSON document per region: keys sorted, no blanks."""
+def config_hash_query(spark, sf):
+    """Hash of a document per region; the order in which its fields are named does not matter."""
     nations = b.load(spark, sf, "nation").groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n"))
     joined = b.load(spark, sf, "region").join(nations, F.col("n_regionkey") == F.col("r_regionkey"))
-    document = F.to_json(
-        F.struct(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"),
-                 F.col("n").alias("nations"))
-    )
-    return joined.select(F.col("r_name").alias("name"), F.sha2(document, 256).alias("config_hash"))
+    fields = {"nations": "n", "name": "r_name", "key": "r_regionkey"}
+    return joined.select(F.col("r_name").alias("name"), config_hash(fields).alias("config_hash"))
 
 
 @query("json_fields", """
@@ -417,13 +426,13 @@ def union_batches(spark, sf):
 
 
 @query("exclude_seen", """
-    SELECT c_custkey FROM customer
-    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)""")
+    SELECT c_custkey FROM customer WHERE c_custkey NOT IN (
+        SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderpriority = '1-URGENT')""")
 def exclude_seen(spark, sf):
-    """Customers without an order."""
+    """Customers without an urgent order."""
     customers = b.load(spark, sf, "customer").select("c_custkey")
-    seen = b.load(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return dd.exclude_seen(customers, seen, ["c_custkey"])
+    urgent = b.load(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    return dd.exclude_seen(customers, urgent.select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 @query("distinct_ids", "SELECT DISTINCT run_id, job_id FROM v_listings", "v_listings")

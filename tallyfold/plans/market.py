@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.text import NOT_AVAILABLE, col, or_unknown
 from tallyfold.operators.bootstrap import bootstrap_ci
-from tallyfold.operators.canonical import canonical_with_frame, detail_lookup
+from tallyfold.operators.canonical import best_listings, canonical_with_frame, detail_lookup
 from tallyfold.operators.classify import classify_jobs
-from tallyfold.operators.dedupe import dedupe_best, first_per_key, top_per_group
+from tallyfold.operators.dedupe import first_per_key, top_per_group
 from tallyfold.operators.overlap import overlap_metrics
 from tallyfold.operators.shares import inverse_weight, share_in_group, total_of, value_shares
 from tallyfold.plans import taxonomy as tx
@@ -22,16 +22,14 @@ LABELS = ("role_family", "seniority", "track", "workplace", "confidence", "reaso
 
 def classify_run(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Classifications of every run: best row per job, its detail, then the rules."""
-    jobs = detail_lookup(dedupe_best(tables["listing_snapshots"]), tables["job_details"])
+    jobs = detail_lookup(best_listings(tables), tables["job_details"])
     labelled = classify_jobs(jobs, "title", "description", "workplace_hint")
     return labelled.select(*JOB, *LABELS, F.col("scraped_at").alias("classified_at"))
 
 
 def classified_jobs(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Canonical jobs with frame attributes and labels: the table all reports start from."""
-    best = dedupe_best(tables["listing_snapshots"]).select(
-        *JOB, "query_id", "title", "company", "location"
-    )
+    best = best_listings(tables).select(*JOB, "query_id", "title", "company", "location")
     framed = canonical_with_frame(best, tables["search_queries"], ("city_name", "target_weight"))
     return framed.join(tables["classifications"].select(*JOB, *LABELS[:5]), JOB, "left")
 
@@ -78,13 +76,17 @@ def report_sections(jobs: DataFrame) -> DataFrame:
     )
 
 
+HEADLINES = {"ai_share": ("role_family", "AI/ML"), "entry_share": ("seniority", "Entry")}
+
+
 def report_intervals(jobs: DataFrame) -> DataFrame:
     """Bootstrap intervals of the two headline shares, per run."""
-    ai = bootstrap_ci(jobs, F.col("role_family") == "AI/ML", by=["run_id"])
-    entry = bootstrap_ci(jobs, F.col("seniority") == "Entry", by=["run_id"])
-    return ai.withColumn("metric", F.lit("ai_share")).unionByName(
-        entry.withColumn("metric", F.lit("entry_share"))
-    )
+    parts = [
+        bootstrap_ci(jobs, F.col(column) == value, ["job_id"], by=["run_id"])
+        .withColumn("metric", F.lit(metric))
+        for metric, (column, value) in HEADLINES.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def report_overlap(listings: DataFrame) -> DataFrame:
@@ -98,23 +100,39 @@ def report_overlap(listings: DataFrame) -> DataFrame:
 
 
 def market_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All report sections but the intervals, as (run_id, section, segment, sub, n, shares)."""
-    sections = report_sections(classified_jobs(tables))
+    """All report sections as (run_id, section, segment, sub, n, share, weighted_share).
+
+    The interval section has a line for each bound of a headline share. Every run has a line with its
+    number of actionable issues, 0 included.
+    """
+    jobs = classified_jobs(tables)
+    sections = report_sections(jobs)
     none = F.lit(None).cast("double")
-    overlap = report_overlap(tables["listing_snapshots"]).select(
-        "run_id", F.lit("overlap").alias("section"), F.col("metric").alias("segment"),
-        F.lit("").alias("sub"), F.lit(None).cast("bigint").alias("n"),
-        F.col("value").alias("share"), none.alias("weighted_share"),
-    )
-    issues = (
-        tables["quality_issues"].where(F.col("severity") != "info").groupBy("run_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "run_id", F.lit("quality").alias("section"), F.lit("actionable").alias("segment"),
-            F.lit("").alias("sub"), "n", none.alias("share"), none.alias("weighted_share"),
+    no_count = F.lit(None).cast("bigint").alias("n")
+
+    def lines(df: DataFrame, section: str, segment: Column, sub: Column, share: Column) -> DataFrame:
+        return df.select(
+            "run_id", F.lit(section).alias("section"), segment.alias("segment"), sub.alias("sub"),
+            no_count, share.alias("share"), none.alias("weighted_share"),
         )
+
+    overlap = lines(
+        report_overlap(tables["listing_snapshots"]), "overlap", F.col("metric"), F.lit(""), F.col("value")
+    )
+    bounds = report_intervals(jobs).unpivot(
+        ["run_id", "metric"], ["observed", "lower", "upper"], "bound", "value"
     )
-    return sections.unionByName(overlap).unionByName(issues)
+    intervals = lines(bounds, "interval", F.col("metric"), F.col("bound"), F.col("value"))
+    counts = tables["quality_issues"].where(F.col("severity") != "info").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("found")
+    )
+    runs = tables["search_runs"].select("run_id").distinct()
+    issues = runs.join(counts, "run_id", "left").select(
+        "run_id", F.lit("quality").alias("section"), F.lit("actionable").alias("segment"),
+        F.lit("").alias("sub"), F.coalesce("found", F.lit(0)).alias("n"), none.alias("share"),
+        none.alias("weighted_share"),
+    )
+    return sections.unionByName(overlap).unionByName(intervals).unionByName(issues)
 
 
 def city_ai_share(jobs: DataFrame) -> DataFrame:
@@ -233,21 +251,46 @@ def ai_deep_dive(
     return levels.unionByName(lead)
 
 
+STATUSES = ("pending", "complete", "failed")
+
+
 def run_progress(tables: Mapping[str, DataFrame], scalar_tables: Sequence[str]) -> DataFrame:
-    """Progress of each run as (run_id, metric, value) lines."""
-    listings = tables["listing_snapshots"]
-    jobs = listings.select(*JOB).distinct()
-    pending = jobs.join(tables["job_details"].select(*JOB), JOB, "left_anti")
+    """Progress of each run as (run_id, metric, detail, value) lines.
 
-    def counted(df: DataFrame, metric: Column | str) -> DataFrame:
-        name = F.lit(metric) if isinstance(metric, str) else metric
-        return df.groupBy("run_id", name.alias("metric")).agg(F.count(F.lit(1)).alias("value"))
+    Every run has every metric, 0 included. Searches with another or no status are counted under
+    their own name. Each error text of failed searches has a line with its count.
+    """
+    listings, frame = tables["listing_snapshots"], tables["search_queries"]
+    per_job = listings.groupBy(*JOB).agg(F.count(F.lit(1)).alias("n"))
+    done = tables["job_details"].select(*JOB, F.lit(True).alias("has_detail")).distinct()
+    found = per_job.join(done, JOB, "left").groupBy("run_id").agg(
+        F.sum("n").alias("listing_snapshots"),
+        F.count(F.lit(1)).alias("unique_jobs"),
+        F.count_if(F.col("has_detail").isNull()).alias("pending_details"),
+    )
+    lines = found.unpivot(
+        ["run_id"], ["listing_snapshots", "unique_jobs", "pending_details"], "metric", "value"
+    )
 
-    lines = counted(
-        tables["search_queries"], F.concat(F.lit("queries_"), F.coalesce("status", F.lit("")))
+    def counted(df: DataFrame, metric: Column) -> DataFrame:
+        return df.groupBy("run_id", metric.alias("metric")).agg(F.count(F.lit(1)).alias("value"))
+
+    lines = lines.unionByName(
+        counted(frame, F.concat(F.lit("queries_"), F.coalesce("status", F.lit(""))))
     )
-    lines = lines.unionByName(counted(jobs, "unique_jobs"))
-    lines = lines.unionByName(counted(pending, "pending_details"))
     for name in scalar_tables:
-        lines = lines.unionByName(counted(tables[name], name))
-    return lines
+        lines = lines.unionByName(counted(tables[name], F.lit(name)))
+    metrics = [
+        "listing_snapshots", "unique_jobs", "pending_details", *scalar_tables,
+        *(f"queries_{s}" for s in STATUSES),
+    ]
+    runs = tables["search_runs"].select("run_id").distinct()
+    wanted = runs.select("run_id", F.explode(F.array(*map(F.lit, metrics))).alias("metric"))
+    full = wanted.join(lines, ["run_id", "metric"], "full").select(
+        "run_id", "metric", F.lit("").alias("detail"), F.coalesce("value", F.lit(0)).alias("value")
+    )
+    failed = frame.where(F.col("status") == "failed").groupBy(
+        "run_id", F.lit("failed_sample").alias("metric"),
+        F.coalesce("last_error", F.lit("")).alias("detail"),
+    ).agg(F.count(F.lit(1)).alias("value"))
+    return full.unionByName(failed)

@@ -117,10 +117,12 @@ def posted_sql(text: str, now: str) -> str:
     unit = f"regexp_extract({wording}, {q(ago)}, 2)"
     size = " ".join(f"WHEN {q(u)} THEN {s}" for u, s in UNIT_SECONDS.items())
     amount = f"TRY_CAST(regexp_extract({wording}, {q(ago)}, 1) AS BIGINT)"
+    age = f"TRY({amount} * CASE {unit} {size} END)"
     return (
         f"CASE WHEN {text} IS NULL OR {text} = '' THEN NULL"
         f" WHEN contains({wording}, 'just now') OR contains({wording}, 'today') THEN {now}"
-        f" WHEN {amount} <= 99999 THEN {now} - to_seconds({amount} * CASE {unit} {size} END) END"
+        f" WHEN {age} <= date_diff('second', TIMESTAMP '0001-01-01', {now})"
+        f" THEN {now} - to_seconds({age}) END"
     )
 
 
@@ -202,7 +204,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN k = 13 THEN 'Just now' WHEN k = 14 THEN '30+ days ago'
                     WHEN k = 15 THEN NULL WHEN k = 16 THEN ''
                     ELSE (CASE WHEN k % 10 = 7 THEN 'Reposted ' ELSE '' END)
-                         || (k % 30 + 1)::VARCHAR || ' ' || {nth(UNITS, f'k % {len(UNITS)}')}
+                         || CASE WHEN k = 17 THEN (100000 + event_id % 900000)::VARCHAR
+                                 WHEN k = 18 THEN '12345678901234567' ELSE (k % 30 + 1)::VARCHAR END || ' ' || {nth(UNITS, f'k % {len(UNITS)}')}
                          || 's ago' END AS posted_text,
                (k // 25 + 1)::INT AS page, (k % 25 + 1)::INT AS rank,
                0.65::DOUBLE + 0.05::DOUBLE * (event_id % 8) AS parser_confidence,
@@ -309,42 +312,42 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                    FROM v_class GROUP BY 1) c ON c.run_id = r.run_id"""),
     "v_fired": (("v_metrics", "v_expected"), """
         SELECT run_id, 1 AS o, 0 AS s, 'listing_snapshots' AS scope, 'error' AS severity,
-               'no_listings' AS code, 'No listing snapshots collected.' AS message, '{}' AS details
+               'no_listings' AS code, 'This run holds no listings at all.' AS message, '{}' AS details
         FROM v_metrics WHERE raw = 0""" + "".join(f"""
         UNION ALL SELECT run_id, {i}, 0, 'listing_snapshots', 'warning', 'high_null_{f}',
-               '{f} missing rate is ' || printf('%.1f', m_{f} / raw * 100.0::DOUBLE) || '%.',
+               printf('%.1f', m_{f} / raw * 100.0::DOUBLE) || '% of the listings lack a value in {f}.',
                '{{"missing":"' || m_{f} || '","total":"' || raw || '"}}'
         FROM v_metrics WHERE raw > 0 AND m_{f} / raw > 0.05::DOUBLE"""
         for i, f in enumerate(("title", "company", "location", "url"), start=2)) + """
         UNION ALL SELECT run_id, 6, 0, 'listing_snapshots', 'info', 'discovery_overlap_deduped',
-               'Overlapping queries discovered the same jobs; reports and canonical exports count each job ID once.',
+               'Several searches led to the same job; it is counted once.',
                '{"canonical_jobs":"' || jobs || '","duplicate_discovery_paths":"' || (raw - jobs)
                || '","raw_snapshots":"' || raw || '"}'
         FROM v_metrics WHERE jobs > 0 AND jobs < raw
         UNION ALL SELECT run_id, 7, ord, 'search_queries', 'warning', 'low_city_sample',
-               city_name || ' has fewer than 25 unique jobs.',
+               'Sample below 25 jobs in ' || city_name,
                '{"city_key":"' || city_key || '","jobs":"' || jobs || '"}'
         FROM v_expected WHERE jobs < 25
         UNION ALL SELECT run_id, 8, 0, 'search_queries', 'warning', 'many_zero_result_queries',
-               'More than 25% of queries returned zero parsed jobs.',
+               'Empty searches exceed 25%.',
                '{"query_count":"' || all_q || '","zero_queries":"' || zero_q || '"}'
         FROM v_metrics WHERE all_q > 0 AND zero_q / all_q > 0.25::DOUBLE
         UNION ALL SELECT run_id, 9, 0, 'classifications', 'warning', 'no_classifications',
-               'No classifications have been generated.', '{}'
+               'Nothing has been labelled yet.', '{}'
         FROM v_metrics WHERE classified = 0
         UNION ALL SELECT run_id, 10, 0, 'classifications', 'warning', 'executive_share_spike',
-               'Executive share is above 12%; inspect title rules and query bias.',
+               'Executives exceed 12% of the labels.',
                '{"executive":"' || exec || '","total":"' || classified || '"}'
         FROM v_metrics WHERE classified > 0 AND exec / classified > 0.12::DOUBLE
         UNION ALL SELECT run_id, 11, 0, 'classifications', 'warning', 'missing_product_program',
-               'No Product or Program jobs classified; likely query or classifier issue.', '{}'
+               'Labels of the product and program families are absent: check searches and rules.', '{}'
         FROM v_metrics WHERE classified > 0 AND pp = 0
         UNION ALL SELECT run_id, 12, 0, 'classifications', 'warning', 'high_other_share',
-               'Other role share is above 12%; taxonomy may be underfitting.',
+               'Unassigned roles exceed 12% of the labels.',
                '{"other":"' || other || '","total":"' || classified || '"}'
         FROM v_metrics WHERE classified > 0 AND other / classified > 0.12::DOUBLE
         UNION ALL SELECT run_id, 13, 0, 'listing_snapshots', 'warning', 'date_window_violations',
-               'Some parsed posting dates fall outside the configured time window.',
+               'Listings older than the window are present.',
                '{"violations":"' || late || '"}'
         FROM v_metrics WHERE late > 0"""),
     "v_issues": (("v_fired",), """

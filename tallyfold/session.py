@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Set only where the deployment has not chosen a value itself.
 DEFAULTS = {
@@ -34,17 +35,26 @@ def build_session(app: str = "tallyfold", master: str | None = None, **conf: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
-    A machine-local folder is chosen only where nothing is configured, which on a
-    cluster would be a deployment error and in tests is what we want.
+    A machine-local folder is chosen only where nothing is configured and everything runs in
+    this process; a cluster must name a folder that all its machines see.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by driver and executors")
     local = tempfile.mkdtemp(prefix="tallyfold-")
     spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write below the shared folder and read back: evaluated once, and its lineage is cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; never reused, so nothing is overwritten."""
     return f"{checkpoint_dir(spark).rstrip('/')}/tallyfold/{name}-{uuid.uuid4().hex}"

@@ -14,16 +14,6 @@ from tallyfold.schemas import CSV_JOBS, CSV_LABELS, SHARED_TABLES, TABLES
 CSV_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly per-row work on a table that was read in fewer pieces.
-
-    Only small inputs are that few; a table of many files has more pieces than cores and
-    passes through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, run_id: str | None = None
 ) -> DataFrame:
@@ -63,14 +53,14 @@ def snapshot_name(kind: str, ident, content_sha256):
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False
 ) -> DataFrame:
-    """CSV with a header; quoted values may hold commas, doubled quotes and line breaks.
+    """CSV with a header; quoted values may hold commas and doubled quotes.
 
     An empty value is NULL, whether quoted or not: CSV cannot tell the two apart.
 
-    Line breaks inside values make a file unsplittable: give large files without them
-    `multi_line=False`.
+    Files are read in splits. Line breaks inside values need `multi_line`, which makes each file
+    one split.
     """
     return (
         spark.read.schema(schema)
@@ -83,9 +73,13 @@ def read_csv(
     )
 
 
-def read_csv_jobs(spark: SparkSession, path: str, schema: T.StructType = CSV_JOBS) -> DataFrame:
-    return read_csv(spark, path, schema)
+def read_csv_jobs(
+    spark: SparkSession, path: str, schema: T.StructType = CSV_JOBS, multi_line: bool = False
+) -> DataFrame:
+    return read_csv(spark, path, schema, multi_line)
 
 
-def read_labels(spark: SparkSession, path: str, schema: T.StructType = CSV_LABELS) -> DataFrame:
-    return read_csv(spark, path, schema)
+def read_labels(
+    spark: SparkSession, path: str, schema: T.StructType = CSV_LABELS, multi_line: bool = False
+) -> DataFrame:
+    return read_csv(spark, path, schema, multi_line)

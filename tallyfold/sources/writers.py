@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators.canonical import canonical_jobs
 from tallyfold.schemas import SHARED_TABLES, TABLES
-from tallyfold.sources.readers import CSV_TIMESTAMP
+from tallyfold.session import stored
+from tallyfold.sources.readers import CSV_TIMESTAMP, read_table
 
 PLAIN_VALUE = re.compile(r"[\w.\-]+")
 
@@ -22,12 +23,19 @@ def replace_partition(
 
     Values named in `values` are replaced even if `df` has no row for them, which empties
     them: a run whose check found nothing must lose the issues of an earlier check.
+
+    Rows of one partition value go to few tasks of balanced size, so that the number of files
+    follows the data and not tasks times values.
     """
     for value in values:
         if not PLAIN_VALUE.fullmatch(value):
             raise ValueError(f"partition value {value!r} would need escaping")
+    if values:
+        # Evaluated once, also where `df` reads the folder that is about to change.
+        df = stored(df, "partitions")
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", partition)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
@@ -35,7 +43,7 @@ def replace_partition(
     if values:
         # At most one row per named value comes back.
         found = df.where(F.col(partition).isin(*values)).select(partition).distinct().collect()
-        nothing = df.drop(partition).limit(0)
+        nothing = df.sparkSession.createDataFrame([], df.drop(partition).schema)
         for value in set(values) - {row[0] for row in found}:
             nothing.write.mode("overwrite").parquet(f"{path}/{partition}={value}")
 
@@ -45,24 +53,33 @@ def export_run(
 ) -> list[str]:
     """Write the pipeline tables and the canonical jobs; returns the nine folders.
 
-    With `run_id`, tables are cut to that run, the shared dimensions go whole. `root` must
-    not be where `tables` are read from.
+    With `run_id`, tables are cut to that run and its earlier export is replaced as a whole,
+    also where a table has no row any more; the shared dimensions go whole. Without it, everything is
+    replaced. `root` must not be where `tables` are read from. The canonical jobs are made from the
+    exported folders.
     """
-    paths = []
-    for name in TABLES:
-        df, path = tables[name], f"{root}/{name}"
+    def replaced(df: DataFrame, path: str) -> None:
+        if run_id is not None:
+            replace_partition(df.where(F.col("run_id") == run_id), path, values=[run_id])
+            return
+        (
+            df.hint("rebalance", "run_id").write.mode("overwrite")
+            .option("partitionOverwriteMode", "static").partitionBy("run_id").parquet(path)
+        )
+
+    paths, written = [], {}
+    for name, schema in TABLES.items():
+        df, path = tables[name].select(*schema.fieldNames()), f"{root}/{name}"
         if name in SHARED_TABLES:
             df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
         else:
-            replace_partition(df if run_id is None else df.where(F.col("run_id") == run_id), path)
+            replaced(df, path)
+        written[name] = read_table(
+            df.sparkSession, path, schema, None if name in SHARED_TABLES else run_id
+        )
         paths.append(path)
-    scoped = {
-        name: df if run_id is None or name in SHARED_TABLES
-        else df.where(F.col("run_id") == run_id)
-        for name, df in tables.items()
-    }
     path = f"{root}/canonical_jobs"
-    replace_partition(canonical_jobs(scoped), path)
+    replaced(canonical_jobs(written), path)
     return [*paths, path]
 
 

@@ -111,7 +111,9 @@ def test_hashes(spark):
     assert row["s"] == "q_" + __import__("hashlib").sha1(b"a|b").hexdigest()[:12]
     assert row["c"].startswith("ca978112ca1bbdca")
     assert row["h"] == 0x0CC175B9
-    assert idn.config_hash({"b": 1, "a": [2]}) == idn.config_hash({"a": [2], "b": 1})
+    one, two = {"b": F.lit(1), "a": F.lit(None).cast("int")}, {"a": F.lit(None).cast("int"), "b": F.lit(1)}
+    got = spark.range(1).select(idn.config_hash(one).alias("x"), idn.config_hash(two).alias("y")).first()
+    assert got["x"] == got["y"] == __import__("hashlib").sha256(b'{"a":null,"b":1}').hexdigest()
 
 
 def test_text(spark):

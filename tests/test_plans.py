@@ -5,24 +5,41 @@ from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from tallyfold.operators import canonical as cn
 from tallyfold.operators import dedupe as dd
 from tallyfold.operators import shares as sh
+from tallyfold.operators import upsert as up
 from tallyfold.plans import bindings as b
-from tests.compare import FORBIDDEN
-
-# Queries with SQL have their plans checked while they are compared.
-UNCOMPARED = sorted(set(queries()) - set(oracle_sql()))
-
+from tallyfold.plans.catalog import QUERIES
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", UNCOMPARED)
-def test_no_cross_joins(spark, sf_dir, name):
-    plan = plan_of(queries()[name](spark, sf_dir))
-    assert not [bad for bad in FORBIDDEN if bad in plan]
+# Read all tables of a run; the listings are derived from the events once and then stored.
+REPORTS = ("canonical_jobs", "market_report", "quality_issues", "run_progress")
+
+
+@pytest.mark.parametrize("name", REPORTS)
+def test_reports_do_not_read_the_events_again(spark, sf_dir, name):
+    assert "props" not in plan_of(QUERIES[name](spark, sf_dir))
+
+
+def test_coverage_shuffles_the_facts_once(spark, sf_dir):
+    listings = b.stored(b.v_listings(spark, sf_dir), "listings")
+    frame = b.stored(b.frame_of(listings), "frame")
+    plan = plan_of(cn.frame_coverage(frame, listings))
+    # Every exchange but that of the distinct jobs is over rows as few as the frame has.
+    assert plan.count("job_id#") and plan.count("Cartesian") == 0
+    assert len(re.findall(r"Exchange hashpartitioning\(run_id#\d+, city_key#\d+, job_id#\d+", plan)) == 1
+    assert "hashpartitioning(query_id#" not in plan
+
+
+def test_upsert_moves_only_keys_of_the_stored_rows(spark):
+    old = spark.range(100).selectExpr("id AS k", "id AS v")
+    new = spark.createDataFrame([(1, 2)], "k long, v long")
+    plan = plan_of(up.upsert_by_key(old, new, ["k"]))
+    assert "LeftAnti" in plan and "FullOuter" not in plan
 
 
 def test_no_window_pulls_a_table_into_one_task():
@@ -44,7 +61,7 @@ def test_columns_and_filters_reach_the_scan(spark, sf_dir):
 
 
 def test_narrow_reports_do_not_read_the_texts(spark, sf_dir):
-    plan = plan_of(queries()["distinct_jobs"](spark, sf_dir))
+    plan = plan_of(QUERIES["distinct_jobs"](spark, sf_dir))
     assert "props" not in plan and "value" not in plan.replace("partial_", "")
 
 
@@ -55,5 +72,5 @@ def test_limit_reaches_below_the_exchange(spark, sf_dir):
 
 
 def test_classification_is_one_projection(spark, sf_dir):
-    plan = plan_of(queries()["classify_track"](spark, sf_dir))
+    plan = plan_of(QUERIES["classify_track"](spark, sf_dir))
     assert "Exchange" not in plan and "Python" not in plan

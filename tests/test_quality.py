@@ -39,7 +39,7 @@ def test_empty_run(spark):
         ("no_classifications", "warning"),
     ]
     assert issues[0]["issue_id"] == "r:0001:no_listings"
-    assert issues[2]["message"] == "NY has fewer than 25 unique jobs."
+    assert issues[2]["message"] == "Sample below 25 jobs in NY"
     assert issues[2]["details"] == {"city_key": "ny", "jobs": "0"}
 
 
@@ -63,7 +63,7 @@ def test_missing_rate_must_exceed_limit(spark):
     above = rows[:56] + [listing(i, query="q2", company=None) for i in range(56, 60)]
     found, issues = codes(spark, **{**data, "listings": above})
     assert found == [("high_null_company", "warning")]
-    assert issues[0]["message"] == "company missing rate is 6.7%."
+    assert issues[0]["message"] == "6.7% of the listings lack a value in company."
     assert issues[0]["details"] == {"missing": "4", "total": "60"}
 
 

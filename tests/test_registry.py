@@ -2,21 +2,17 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tallyfold.plans.catalog import ORACLES, QUERIES
 from tests.compare import compare, connect
 
-# Random draws have no SQL; their properties are tested in test_bootstrap.py.
-NO_SQL = {"bootstrap_ci", "bootstrap_ci_weighted", "report_intervals"}
-
-
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return connect(sf_dir)
 
 
-def test_every_query_but_the_random_ones_has_sql():
-    assert set(queries()) - set(oracle_sql()) == NO_SQL
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
@@ -25,12 +21,12 @@ def test_entry(spark):
     assert abs(sum(r["share"] for r in df.collect()) - 1) < 1e-6
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, con, sf_dir, name):
-    assert compare(spark, con, queries()[name], oracle_sql()[name], sf_dir) == []
+    assert compare(spark, con, QUERIES[name], ORACLES[name], sf_dir) == []
 
 
-@pytest.mark.parametrize("name", sorted(NO_SQL))
-def test_random_queries_give_ordered_bounds(spark, sf_dir, name):
-    for row in queries()[name](spark, sf_dir).collect():
+@pytest.mark.parametrize("name", ["bootstrap_ci", "bootstrap_ci_weighted", "report_intervals"])
+def test_intervals_are_ordered(spark, sf_dir, name):
+    for row in QUERIES[name](spark, sf_dir).collect():
         assert 0 <= row["lower"] <= row["observed"] + 1e-9 <= row["upper"] + 2e-9 <= 1 + 3e-9

@@ -62,7 +62,7 @@ def test_csv_round_trip(spark, tmp_path):
     rows = [('Manager, "Growth"', "Product", None, ""), ("line\nbreak", "Other", "Mid", "IC")]
     path = str(tmp_path / "c")
     wr.write_csv(spark.createDataFrame(rows, CSV_LABELS), path)
-    got = sorted(tuple(r) for r in rd.read_labels(spark, path).collect())
+    got = sorted(tuple(r) for r in rd.read_labels(spark, path, multi_line=True).collect())
     assert got == [('Manager, "Growth"', "Product", None, None), ("line\nbreak", "Other", "Mid", "IC")]
 
 
@@ -91,11 +91,43 @@ def test_scratch_is_below_the_configured_folder(spark):
     assert spark.conf.get("spark.checkpoint.dir") == checkpoint_dir(spark)
 
 
-def test_spread_leaves_large_inputs_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert rd.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    plan = rd.spread(spark.range(0, 100, 1, cores + 3))._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+def test_no_local_folder_on_a_cluster():
+    class Elsewhere:
+        conf = {}
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Elsewhere())
+
+
+def test_export_loses_what_a_run_has_lost(spark, sf_dir, tmp_path):
+    tables = {n: job_tables(spark, sf_dir)[n] for n in TABLES}
+    root = str(tmp_path / "export")
+    wr.export_run(tables, root, "run_a")
+    assert spark.read.parquet(f"{root}/quality_issues").where("run_id = 'run_a'").count() > 0
+    wr.export_run({**tables, "quality_issues": tables["quality_issues"].limit(0)}, root, "run_a")
+    assert spark.read.schema(TABLES["quality_issues"]).parquet(f"{root}/quality_issues").count() == 0
+    wr.export_run(tables, root, "run_b")
+    jobs = spark.read.parquet(f"{root}/canonical_jobs").groupBy("run_id").count().collect()
+    assert {r["run_id"] for r in jobs} == {"run_a", "run_b"}
+
+
+def test_replaced_partition_may_come_from_its_own_folder_copy(spark, tmp_path):
+    path = str(tmp_path / "t")
+    wr.replace_partition(spark.createDataFrame([("a", 1), ("b", 2)], "run_id string, v int"), path, values=["a"])
+    wr.replace_partition(spark.createDataFrame([("b", 5)], "run_id string, v int"), path, values=["a", "b"])
+    assert [(r.run_id, r.v) for r in spark.read.schema("v int, run_id string").parquet(path).collect()] == [("b", 5)]
+
+
+def test_csv_is_read_in_splits_unless_told_otherwise(spark, tmp_path):
+    path = str(tmp_path / "big")
+    spark.range(40_000).selectExpr("repeat('x', 60) AS title").coalesce(1).write.option("header", True).csv(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        assert rd.read_csv(spark, path, "title string").rdd.getNumPartitions() > 4
+        assert rd.read_csv(spark, path, "title string", multi_line=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 @pytest.mark.parametrize("name", TABLES)
