@@ -7,6 +7,7 @@ from tallyfold.functions.rules import Rule, label_by_rules
 from tallyfold.operators import classify as cl
 from tallyfold.plans import taxonomy as tx
 from tallyfold.plans.bindings import BASE_TITLES
+from tests.title_labels import TITLES
 
 # title, family, seniority, track
 LABELS = [
@@ -77,6 +78,7 @@ LABELS = [
     ("Internal Auditor", "Other", "Mid", "IC"),
     ("Senior  Product \t Manager", "Product", "Senior", "Manager"),
     ("  DATA   ENGINEER ", "Data Engineering", "Mid", "IC"),
+    *TITLES,
 ]
 
 
@@ -92,6 +94,12 @@ def test_labels(labelled, title, family, seniority, track):
     assert (row["role_family"], row["seniority"], row["track"]) == (family, seniority, track)
 
 
+def test_at_least_300_titles_reach_every_rule(spark):
+    assert len({t for t, *_ in LABELS}) >= 300
+    found = spark.createDataFrame([(t,) for t, *_ in LABELS], "t string").select(cl.role_rule(F.lower("t")).alias("r"))
+    assert {r["r"] for r in found.distinct().collect()} == set(range(len(tx.ROLE_RULES) + 1))
+
+
 def test_labels_are_members_of_the_closed_sets(spark):
     titles = [(p + t,) for t in BASE_TITLES for p in ("", "Senior ", "Junior ", "Principal ")]
     rows = cl.classify_jobs(spark.createDataFrame(titles, "title string")).collect()
