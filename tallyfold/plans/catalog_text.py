@@ -455,3 +455,49 @@ def stream_dedupe(spark, sf):
     return spark.read.schema("user_id bigint, event_type string").parquet(f"{root}/out")
 
 
+BATCHES = 3
+
+
+def arrivals(df, key, folder):
+    """Appends the table to `folder` in three parts, one after each step of the iteration."""
+    for part in range(BATCHES):
+        df.where(F.col(key) % BATCHES == part).write.mode("append").parquet(folder)
+        yield part
+
+
+@query("ingest_pages", f"""
+    SELECT href, page_id, rank, title FROM (
+        SELECT *, row_number() OVER (PARTITION BY href
+                  ORDER BY page_id % {BATCHES} DESC, page_id DESC, rank DESC) AS rn
+        FROM ({CARDS_SQL})) WHERE rn = 1""")
+def ingest_pages(spark, sf):
+    """Pages arrive in three batches and become cards; of one link the later batch wins."""
+    pages = b.load(spark, sf, "pages").select("page_id", "html")
+    root = scratch_path(spark, "ingest_pages")
+
+    def cards(df):
+        found = pg.extract_cards(df, spec=NAV_LINKS, job_id=F.nullif("href", F.lit("")))
+        return found.select("href", "page_id", "rank", "title")
+
+    for _ in arrivals(pages, "page_id", f"{root}/in"):
+        stream = st.stream_files(spark, f"{root}/in", pages.schema)
+        st.ingest_stream(
+            stream, f"{root}/target", f"{root}/checkpoint", ["href"], ["page_id", "rank"], cards
+        ).awaitTermination()
+    return st.read_current(spark, f"{root}/target", cards(pages).schema, ["href"])
+
+
+@query("first_sight", f"""
+    SELECT user_id, event_id, event_type FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id % {BATCHES}, event_id) AS rn
+        FROM events) WHERE rn = 1""")
+def first_sight(spark, sf):
+    """Events arrive in three batches; the first row of each user stays for good."""
+    events = b.load(spark, sf, "events").select("user_id", "event_id", "event_type")
+    root = scratch_path(spark, "first_sight")
+    for _ in arrivals(events, "event_id", f"{root}/in"):
+        stream = st.stream_files(spark, f"{root}/in", events.schema)
+        st.first_sight(
+            stream, f"{root}/target", f"{root}/checkpoint", ["user_id"], ["event_id"]
+        ).awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{root}/target").select(events.columns)

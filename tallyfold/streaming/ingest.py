@@ -66,6 +66,46 @@ def ingest_stream(
     )
 
 
+def write_unseen(
+    batch: DataFrame, batch_id: int, target: str, keys: Sequence[str], order: Sequence[str]
+) -> None:
+    """Store the first row of each key that no earlier batch has brought; a replay does the same."""
+    spark = batch.sparkSession
+    stored = T.StructType([*batch.schema.fields, T.StructField(BATCH, T.LongType())])
+    earlier = spark.read.schema(stored).parquet(target).where(F.col(BATCH) < batch_id)
+    fresh = first_per_key(batch, keys, [F.col(c).asc_nulls_last() for c in order])
+    known = earlier.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    (
+        fresh.join(known, same, "left_anti")
+        .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BATCH)
+        .parquet(target)
+    )
+
+
+def first_sight(
+    stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]
+) -> StreamingQuery:
+    """First row of every key over all time: set-based against the target, so nothing is forgotten
+    and no state is held. `stream_dedupe` is the form with bounded memory."""
+    empty = stream.sparkSession.createDataFrame([], stream.schema)
+    none = empty.withColumn(BATCH, F.lit(0).cast("bigint"))
+    none.write.mode("append").partitionBy(BATCH).parquet(target)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        write_unseen(batch, batch_id, target, keys, order)
+
+    return (
+        stream.writeStream.foreachBatch(sink)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def read_current(
     spark: SparkSession, target: str, schema: T.StructType, keys: Sequence[str]
 ) -> DataFrame:

@@ -79,3 +79,16 @@ def test_pages_arrive_as_listings(spark, tmp_path):
     assert arrive(card.format(7, "Cook"), T0) == [("q:1:1:7", "Cook")]
     again = card.format(7, "Chef") + card.format(8, "Nurse")
     assert arrive(again, T0 + timedelta(1)) == [("q:1:1:7", "Chef"), ("q:1:2:8", "Nurse")]
+
+
+def test_first_sight_never_forgets(spark, tmp_path):
+    target, keys = str(tmp_path / "seen"), ["k"]
+    spark.createDataFrame([], SCHEMA + ", batch_id long").write.partitionBy("batch_id").parquet(target)
+    batches = [
+        [(1, "a", T0), (1, "b", T0 + timedelta(1)), (None, "n", T0)],
+        [(1, "late", T0 + timedelta(400)), (2, "c", T0), (None, "m", T0)],
+    ]
+    for number in (0, 1, 1, 0):  # replays included
+        st.write_unseen(spark.createDataFrame(batches[number], SCHEMA), number, target, keys, ["at", "v"])
+    got = spark.read.schema(SCHEMA).parquet(target).collect()
+    assert sorted((r["k"] or 0, r["v"]) for r in got) == [(0, "n"), (1, "a"), (2, "c")]
