@@ -5,13 +5,16 @@ their SHA-256 digest, and headers are stored separately with the digest they poi
 records come back by joining the two. Reading recomputes the digest of every payload it joins, so a
 damaged one is an error rather than a wrong record.
 
-Digest groups are reduced map-side to their smallest page id, so a payload that a third of the pages
-share costs one small row per task. Payload bytes are never shuffled by digest for writing: the pages
-that represent a payload are found by page id.
+Digest groups are reduced map-side, to their smallest page id and to one copy of the payload, so a
+payload that a third of the pages share costs one row per task. Payloads are deflated one by one, as is
+usual for such archives, before they are shuffled and stored.
 """
 
 from __future__ import annotations
 
+import zlib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,22 @@ MIN_REVISIT_BYTES = 100
 CRLF = "\r\n"
 
 
+def deflated(payload: str) -> Column:
+    @F.pandas_udf("binary")
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(zlib.compress)
+
+    return run(F.col(payload))
+
+
+def inflated(packed: str) -> Column:
+    @F.pandas_udf("binary")
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: None if x is None else zlib.decompress(x))
+
+    return run(F.col(packed))
+
+
 def digested(pages: DataFrame) -> DataFrame:
     """page_id, url, payload (UTF-8 bytes, null as empty), payload_digest, payload_bytes."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
@@ -58,8 +77,8 @@ def header(date: str) -> Column:
 
 
 def write_archive(pages: DataFrame, path: str, date: str = "2026-01-01T00:00:00Z") -> None:
-    """Writes `path`/payloads (digest, payload; one row each) and `path`/headers (page_id, header,
-    digest).
+    """Writes `path`/payloads (digest, deflated payload; one row each) and `path`/headers (page_id,
+    header, digest).
 
     Null html: empty payload. Of equal payloads of at least 100 bytes the smallest page_id is the
     response and others are revisits; rows repeated with that same page_id are responses as well.
@@ -74,20 +93,11 @@ def write_archive(pages: DataFrame, path: str, date: str = "2026-01-01T00:00:00Z
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
         F.when(revisit, F.col("first_id")).alias("refers_to"),
     ).select("page_id", header(date).alias("header"), F.col("payload_digest").alias("digest"))
-    headers.write.parquet(f"{path}/headers")
-    payloads = with_key(rows.select("page_id", "payload_digest", "payload")).join(
-        with_key(first.select(F.col("first_id").alias("page_id"), "payload_digest")).drop("page_id"),
-        ["key", "payload_digest"],
-    )
-    # Rows repeated under one page id hold the same bytes; the exchange of the join serves for this too.
-    payloads.dropDuplicates(["key", "payload_digest"]).select(
-        F.col("payload_digest").alias("digest"), "payload"
-    ).write.parquet(f"{path}/payloads")
-
-
-def with_key(df: DataFrame) -> DataFrame:
-    """`key` is the page id, null as the smallest integer: payloads that only such pages have."""
-    return df.withColumn("key", F.coalesce(F.col("page_id").cast("long"), F.lit(-(2**63))))
+    headers.write.option("compression", "zstd").parquet(f"{path}/headers")
+    # Copies within a task meet before the shuffle; any of the equal payloads will do.
+    packed = rows.select(F.col("payload_digest").alias("digest"), deflated("payload").alias("packed"))
+    payloads = packed.groupBy("digest").agg(F.any_value("packed").alias("packed"))
+    payloads.write.parquet(f"{path}/payloads")
 
 
 def read_records(spark, path: str) -> DataFrame:
@@ -96,21 +106,17 @@ def read_records(spark, path: str) -> DataFrame:
     Fails on a payload whose digest is not the one it is stored under, and on a missing payload.
     """
     headers = spark.read.schema("page_id long, header binary, digest string").parquet(f"{path}/headers")
-    payloads = spark.read.schema("digest string, payload binary").parquet(f"{path}/payloads")
-    sound = payloads.select(
-        "digest",
-        F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload"))
-        .otherwise(F.raise_error(F.concat(F.lit("damaged payload "), F.col("digest"))).cast("binary"))
-        .alias("payload"),
-    )
-    joined = headers.join(sound, "digest", "left")
-    payload = F.coalesce(
-        "payload", F.raise_error(F.concat(F.lit("missing payload "), F.col("digest"))).cast("binary")
+    payloads = spark.read.schema("digest string, packed binary").parquet(f"{path}/payloads")
+    joined = headers.join(payloads, "digest", "left").select(
+        "page_id", "header", "digest", inflated("packed").alias("payload")
     )
-    return joined.select(
-        "page_id", "header", payload.alias("payload"),
-        F.concat(F.col("header"), payload, F.lit(CRLF * 2).cast("binary")).alias("record"),
+    # Every record's payload is checked, not only every stored one.
+    wrong = F.when(F.col("payload").isNull(), F.lit("missing payload ")).otherwise(F.lit("damaged payload "))
+    payload = F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(
+        F.raise_error(F.concat(wrong, F.col("digest"))).cast("binary")
     )
+    sound = joined.select("page_id", "header", payload.alias("payload"))
+    return sound.select("*", F.concat("header", "payload", F.lit(CRLF * 2).cast("binary")).alias("record"))
 
 
 def described(records: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 import hashlib
+import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyfold.llm import archive
 from tallyfold.session import scratch_path
@@ -47,7 +49,8 @@ def test_payloads_are_stored_once_and_records_come_back(spark, pages):
 def test_a_damaged_payload_is_an_error(spark, pages):
     path = scratch_path(spark, "archive-test")
     archive.write_archive(pages, path)
-    spark.read.parquet(f"{path}/payloads").selectExpr("digest", "cast('zz' as binary) AS payload").write.parquet(f"{path}/broken/payloads")
+    other = F.lit(bytearray(zlib.compress(b"zz"))).alias("packed")
+    spark.read.parquet(f"{path}/payloads").select("digest", other).write.parquet(f"{path}/broken/payloads")
     spark.read.parquet(f"{path}/headers").write.parquet(f"{path}/broken/headers")
     with pytest.raises(Exception, match="damaged payload"):
         archive.read_records(spark, f"{path}/broken").collect()
