@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,18 @@ def slices(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         yield start, len(sizes)
 
 
+def in_slices(
+    batches: Iterator[pa.RecordBatch], name: str = "text", limit: int = 4 * SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches in parts whose texts add up to `limit` at most, or hold a single row: what a task
+    keeps of a batch besides the batch itself stays small."""
+    for batch in batches:
+        (texts,) = columns(batch, name)
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+        for lo, hi in slices(sizes, limit):
+            yield batch.slice(lo, hi - lo)
+
+
 def over_texts(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
     texts = texts_of(column)
     for lo, hi in slices([len(t) for t in texts], limit):
@@ -151,6 +164,18 @@ def record_batch(schema: pa.Schema, *arrays) -> pa.RecordBatch:
 
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def to_python(df: DataFrame) -> DataFrame:
+    """`df`, whose texts are about to go to Python, with batches of 1,000 rows where the session has
+    Spark's default of 10,000: a batch of that many texts takes a hundred MB on both sides."""
+    conf = df.sparkSession.conf
+    if conf.get(ARROW_ROWS) == "10000":
+        conf.set(ARROW_ROWS, "1000")
+    return df
+
+
 SMALL_ROWS = 500_000
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import (
-    MARKS, Words, columns, inside, over_texts, record_batch, stored, window_hashes,
+    MARKS, Words, columns, in_slices, inside, over_texts, record_batch, stored, window_hashes, to_python,
 )
 
 K = 3
@@ -72,7 +72,7 @@ def gram_hits(docs: DataFrame) -> DataFrame:
     hit_type = pa.list_(pa.struct([("pos", pa.int64()), ("hash", pa.int64()), ("words", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             rows, ids, texts = columns(batch, "row", "doc_id", "text")
             schema = pa.schema([("row", pa.int64()), ("doc_id", ids.type), ("n_words", pa.int64()), ("hits", hit_type)])
             for lo, hi, part in over_texts(texts):
@@ -87,7 +87,7 @@ def gram_hits(docs: DataFrame) -> DataFrame:
                     hits[doc].append({"pos": i - int(w.first[doc]), "hash": int(h[i].view(np.int64)), "words": words})
                 yield record_batch(schema, rows.slice(lo, hi - lo), ids.slice(lo, hi - lo), w.counts, hits)
 
-    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
+    return to_python(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
         run,
         f"row long, doc_id {kind}, n_words long, hits array<struct<pos: long, hash: long, words: string>>",
     )

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import columns, over_texts, record_batch, stored
+from tallyfold.llm.common import columns, in_slices, over_texts, record_batch, stored, to_python
 
 CAPACITY = 2048
 BUCKET_ROWS = 20_000
@@ -110,7 +110,7 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        for batch in batches:
+        for batch in in_slices(batches):
             ids, texts = columns(batch, "doc_id", "text")
             for lo, hi, part in over_texts(texts):
                 at, no, start, size, crc = [], [], [], [], []
@@ -129,7 +129,7 @@ def pieces(
                 ])
                 yield record_batch(schema, ids.take(pa.array(at, pa.int64())), no, start, size, crc)
 
-    return docs.select("doc_id", "text").mapInArrow(run, PIECES.format(kind=kind))
+    return to_python(docs).select("doc_id", "text").mapInArrow(run, PIECES.format(kind=kind))
 
 
 Filling = tuple[tuple[int, int], ...]  # (length, how many), largest first

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
-from tallyfold.llm.common import SPACES, Words, columns, mixed, over_texts, record_batch
+from tallyfold.llm.common import SPACES, Words, columns, in_slices, mixed, over_texts, record_batch, to_python
 from tallyfold.llm.labels import Model, fit, labelled_sample, platt, sigmoid
 
 PER_CLASS = 2500  # rows of each class in the training sample
@@ -181,7 +181,7 @@ def quality(docs: DataFrame, model: Model) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             ids, texts = columns(batch, "doc_id", "text")
             schema = pa.schema([
                 ("doc_id", ids.type), ("score", pa.float64()), ("n_passages", pa.int64()), ("top_attention", pa.float64()),
@@ -192,6 +192,6 @@ def quality(docs: DataFrame, model: Model) -> DataFrame:
                 top = np.maximum.reduceat(s["a"], first[:-1])
                 yield record_batch(schema, ids.slice(lo, hi - lo), sigmoid(s["logit"]), np.diff(first), top)
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return to_python(docs).select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, score double, n_passages long, top_attention double"
     )

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tallyfold.llm.common import (
-    SPACES, Words, columns, inside, mixed, over_texts, record_batch, span_hashes, sums, window_hashes,
+    SPACES, Words, columns, in_slices, inside, mixed, over_texts, record_batch, span_hashes, sums, window_hashes, to_python,
 )
 from tallyfold.llm.labels import Model, fit, labelled_sample, platt, sigmoid
 
@@ -143,7 +143,7 @@ def quality_rules(docs: DataFrame, model: Model, min_quality: float = MIN_QUALIT
     weights, bias = model["weights"], float(model["bias"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             ids, texts = columns(batch, "doc_id", "text")
             schema = pa.schema([
                 ("doc_id", ids.type), ("n_words", pa.int64()), ("word_chars", pa.int64()),
@@ -159,7 +159,7 @@ def quality_rules(docs: DataFrame, model: Model, min_quality: float = MIN_QUALIT
                     schema, ids.slice(lo, hi - lo), *counts, score, failed, ~failed & (score >= min_quality)
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return to_python(docs).select("doc_id", "text").mapInArrow(
         run,
         f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
         "n_repeat_words long, quality double, base_failed boolean, kept boolean",

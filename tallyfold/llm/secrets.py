@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import columns, record_batch
+from tallyfold.llm.common import columns, in_slices, record_batch, to_python
 
 # Words, prefixes and patterns of the kinds.
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -120,7 +120,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = automaton()
-        for batch in batches:
+        for batch in in_slices(batches):
             ids, texts = columns(batch, "id", "text")
             rows = []
             for text in texts:
@@ -137,7 +137,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 ids, *(zip(*rows) if rows else [[]] * 6),
             )
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+    return to_python(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run,
         f"doc_id {kind}, n_assign long, n_access long, n_hex long, n_checked long, "
         "base_sha256 string, spans string",
@@ -164,12 +164,12 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = automaton()
-        for batch in batches:
+        for batch in in_slices(batches):
             (texts,) = columns(batch, "text")
             new = [None if t is None else redacted(t, found, mark) for t in texts.to_pylist()]
             yield batch.set_column(names.index("text"), "text", pa.array(new, texts.type))
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = to_python(docs).mapInArrow(run, docs.schema)
     if "n_chars" in names:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
         changed = F.when(F.col("text").isNotNull(), size).otherwise(F.col("n_chars"))
