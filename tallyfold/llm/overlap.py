@@ -8,7 +8,7 @@ only candidates found there are looked up, by binary search, in the long ones.
 
 1. Equal sets are one class, represented by its smallest document id.
 2. At first only the smallest hashes of a set are indexed: of n - T + l of them two partners share l at
-   least (l = n // 20). Elements that no other set has indexed have no list, and a set with fewer
+   least (l: a thirtieth of the set, more for small sets). Elements that no other set has indexed have no list, and a set with fewer
    than the needed number of listed elements has no partner. Most of a corpus ends here.
 3. The other sets are indexed in whole. A set with fewer than T listed elements has no partner.
 4. The listed elements of a set are ordered by the length of their lists. The T - 1 longest are set
@@ -34,12 +34,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import (
-    Words, columns, inside, mixed, over_texts, record_batch, small, stored, window_hashes,
+    Words, columns, in_slices, inside, mixed, over_texts, record_batch, small, stored, window_hashes, to_python,
 )
 from tallyfold.llm.graphs import components
 
 SHORT = 40  # sets on a list that is merged
 BLOCK = 64
+SURE = 6  # shared indexed elements asked of sets of medium size
 CHUNK = 4096  # elements per incidence matrix
 
 
@@ -84,7 +85,7 @@ def shingle_sets(docs: DataFrame, join: Join, whole: bool) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             ids, texts = columns(batch, "doc_id", "text")
             schema = pa.schema([
                 ("doc_id", ids.type), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
@@ -95,12 +96,13 @@ def shingle_sets(docs: DataFrame, join: Join, whole: bool) -> DataFrame:
                 n = np.diff(first)
                 d1, d2 = digest(mixed(h + np.uint64(1)), first), digest(mixed(h ^ np.uint64(0xA5A5A5A5)), first)
                 if not whole:
-                    keep = np.where(n > 0, n - least_overlap(n, join.percent) + np.maximum(1, n // 20), 0)
+                    extra = np.maximum(n // 30, np.minimum(n // 4 + 1, SURE))
+                    keep = np.where(n > 0, n - least_overlap(n, join.percent) + extra, 0)
                     h = h[np.arange(len(h)) - np.repeat(first[:-1], n) < np.repeat(keep, n)]
                     first = np.concatenate(([0], np.cumsum(np.minimum(keep, n))))
                 yield record_batch(schema, ids.slice(lo, hi - lo), n, d1, d2, listed(h, first))
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return to_python(docs).select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n long, d1 long, d2 long, hashes array<long>"
     )
 
@@ -112,8 +114,9 @@ def digest(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def needed(n: Column, join: Join) -> Column:
-    """Indexed elements that a set shares with any partner; a partner has 0.85 n elements at least."""
-    return F.greatest(F.lit(1), F.floor(least_shared(n, join) / 20))
+    """Indexed elements that a set shares with any partner: l of the smallest size a partner has."""
+    m = least_shared(n, join)
+    return F.greatest(F.floor(m / 30), F.least(F.floor(m / 4) + 1, F.lit(SURE)))
 
 
 def least_shared(n: Column, join: Join) -> Column:
@@ -123,7 +126,9 @@ def least_shared(n: Column, join: Join) -> Column:
 
 def listed_postings(postings: DataFrame) -> DataFrame:
     """(token, rep, n) and df, the length of the list, for elements that two sets have at least."""
-    lengths = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # Counting `rep` keeps the columns, and so the plan below, as they are for the join: the exchange of
+    # the classes then runs once for both.
+    lengths = postings.groupBy("token").agg(F.count("rep").alias("df")).where("df > 1")
     return postings.join(lengths, "token")
 
 
@@ -270,16 +275,19 @@ def compared(one: pa.StructArray, two: pa.StructArray, join: Join) -> tuple[np.n
     return np.maximum(rep_a[i], rep_b[j]), np.minimum(rep_a[i], rep_b[j])
 
 
-def links_of(docs: DataFrame, indexed: DataFrame, join: Join) -> DataFrame:
-    """node, component over the representatives of classes that are linked with another class."""
-    classes = indexed.where("n > 0").groupBy("n", "d1", "d2").agg(
+def links_of(docs: DataFrame, sizes: DataFrame, join: Join) -> DataFrame:
+    """node, component over the representatives of classes that are linked with another class.
+    sizes: n, d1, d2, rep of every class."""
+    # Hashed again rather than stored: the indexed elements are as large as a third of the texts.
+    classes = shingle_sets(docs, join, whole=False).where("n > 0").groupBy("n", "d1", "d2").agg(
         F.min("doc_id").cast("long").alias("rep"), F.any_value("hashes").alias("hashes")
     )
-    postings = classes.select("rep", "n", F.explode("hashes").alias("token"))
+    postings = classes.select("rep", F.explode("hashes").alias("token"))
+    listed = listed_postings(postings).groupBy("rep").agg(F.count("*").alias("listed"))
     some = (
-        listed_postings(postings).groupBy("rep", "n").agg(F.count("*").alias("listed"))
+        listed.join(sizes.groupBy("rep").agg(F.min("n").alias("n")), "rep")
         .where(F.col("listed") >= needed(F.col("n"), join))
-        .select(F.col("rep").alias("doc_id")).distinct()
+        .select(F.col("rep").alias("doc_id"))
     )
     texts = docs.select("doc_id", "text").join(small(stored(some, "some"), 2_000_000), "doc_id")
     full = shingle_sets(texts, join, whole=True).withColumnRenamed("doc_id", "rep")
@@ -329,9 +337,9 @@ def linked_documents(docs: DataFrame, join: Join = Join()) -> DataFrame:
     null unless its set occurs under an id. Other columns are ignored.
     """
     ident = docs.schema["doc_id"].dataType
-    indexed = stored(shingle_sets(docs, join, whole=False), "shingles")
-    labels = links_of(docs.where(F.col("doc_id").isNotNull()), indexed.where(F.col("doc_id").isNotNull()), join)
+    indexed = stored(shingle_sets(docs, join, whole=False).drop("hashes"), "shingles")
     classes = indexed.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").cast("long").alias("rep"))
+    labels = links_of(docs.where(F.col("doc_id").isNotNull()), classes.where(F.col("rep").isNotNull()), join)
     classes = labelled(classes, labels, "rep")
     return (
         indexed.join(classes, ["n", "d1", "d2"], "left")
