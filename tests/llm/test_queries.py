@@ -28,4 +28,4 @@ def test_one_row_per_document(spark, sf_dir, name):
 
 
 def test_every_operator_is_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
