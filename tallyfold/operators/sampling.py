@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold.functions.identity import PAGE_SIZE, SEARCH_BASE, hash32, search_url, stable_id
 from tallyfold.functions.text import col
+from tallyfold.operators.selection import lowest
 
 _CITY = "struct<key:string,name:string,weight:double,locations:array<string>>"
 _FAMILY = "struct<key:string,name:string,keywords:array<string>>"
@@ -26,7 +27,6 @@ MAX_PAGES = (1, 40)
 # Fixed value: one search is expected to yield this many usable rows.
 ROWS_PER_SEARCH = 20
 HASH_BITS = 32
-BUCKET_BITS = 12
 
 
 def config_rows(spark: SparkSession, configs: Mapping[str, Mapping[str, Any]]) -> DataFrame:
@@ -122,8 +122,6 @@ def page_loop_stop(pages: DataFrame, found: str = "n") -> DataFrame:
         F.sum(found).alias("result_count"), F.max("page").alias("pages_collected")
     )
 
-MAX_BROADCAST = 100_000
-
 
 def quota_gap(df: DataFrame, stratum: str, weights: Mapping[str, float], total: int) -> DataFrame:
     """Rows still wanted per stratum: floor(total x weight) less the rows at hand."""
@@ -143,34 +141,12 @@ def capped_sample(
 ) -> DataFrame:
     """Seeded sample of at most `quota` rows per stratum, exactly the lowest hashes.
 
-    Ranking a whole stratum would put a third of the table into one sort. Instead a
-    histogram over 2^12 hash ranges, combined map-side, finds the range in which the quota
-    is reached: lower ranges are taken as they are, and only the rows of that one range
-    are ranked. Strata without a quota row are left out. The plan has one row per quota; a list of
-    quotas beyond MAX_BROADCAST rows is joined by a shuffle.
+    Ranking a whole stratum would put a third of the table into one sort. Radix selection finds
+    the narrow hash range in which the quota is reached: lower ranges are taken as they are, and only
+    the few rows of that range are ranked. Strata without a quota row are left out.
     """
-    draws = df.withColumn("_h", hash32(F.lit(seed), key)).withColumn(
-        "_b", F.shiftright("_h", HASH_BITS - BUCKET_BITS)
-    )
-    counts = draws.groupBy(stratum, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    running = Window.partitionBy(stratum).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    limits = quotas.select(F.col(stratum).alias("_s"), F.col("quota").cast("bigint").alias("_q"))
-    # A stratum has at most 2^12 histogram rows.
-    edges = counts.join(limits, F.col(stratum) == F.col("_s")).withColumn(
-        "_before", F.sum("_c").over(running) - F.col("_c")
-    )
-    # One row per stratum: the range in which the quota is reached and the room left in it.
-    plan = edges.where(F.col("_before") < F.col("_q")).groupBy(F.col("_s")).agg(
-        F.max(F.struct(F.col("_b").alias("edge"), (F.col("_q") - F.col("_before")).alias("room"))).alias("_e")
-    ).select("_s", "_e.edge", "_e.room")
-    if quotas.count() <= MAX_BROADCAST:
-        plan = F.broadcast(plan)
-    chosen = draws.join(plan, F.col(stratum) == F.col("_s"))
-    whole = chosen.where(F.col("_b") < F.col("edge"))
-    partial = chosen.where(F.col("_b") == F.col("edge"))
-    rank = F.row_number().over(Window.partitionBy(stratum).orderBy("_h", key))
-    cut = partial.withColumn("_r", rank).where(F.col("_r") <= F.col("room"))
-    return whole.select(*df.columns).unionByName(cut.select(*df.columns))
+    limits = quotas.select(stratum, F.col("quota").alias("room"))
+    return lowest(df, stratum, hash32(F.lit(seed), key), HASH_BITS, limits, key)
 
 
 def shuffled_frame(frame: DataFrame, key: str, target: int, seed: int = 42) -> DataFrame:

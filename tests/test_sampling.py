@@ -4,7 +4,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from tallyfold.functions.identity import hash32
 from tallyfold.operators import sampling as sm
+from tallyfold.operators.selection import radix_edge
 
 CONFIG = {
     "cities": [
@@ -97,3 +99,31 @@ def test_quota_gap(spark):
     df = spark.createDataFrame([("a",)] * 7, "c string")
     got = {r["c"]: (r["target"], r["have"], r["gap"]) for r in sm.quota_gap(df, "c", {"a": 0.35, "b": 0.65}, 15).collect()}
     assert got == {"a": (math.floor(15 * 0.35), 7, 0), "b": (math.floor(15 * 0.65), 0, 9)}
+
+
+@pytest.mark.parametrize("quota", [0, 1, 2999, 3000, 9000, 20_000])
+def test_sample_of_one_stratum_that_repeats_one_row(spark, quota):
+    """A third of the rows are one row, and the others share its stratum: no order tells them apart."""
+    same = spark.range(6000).selectExpr("'a' AS s", "'k' AS id", "map('x', 1) AS m")
+    other = spark.range(3000).selectExpr("'a' AS s", "concat('id', id) AS id", "map('x', 2) AS m")
+    df = same.union(other)
+    got = sm.capped_sample(df, "s", sm.strata_quotas(spark, "s", [("a", quota)]), "id", 3)
+    rows = [r["id"] for r in got.collect()]
+    assert len(rows) == min(quota, 9000)
+    draw = {r["id"]: r["h"] for r in df.select("id", hash32(F.lit(3), "id").alias("h")).distinct().collect()}
+    every = sorted([r["id"] for r in df.select("id").collect()], key=lambda i: (draw[i], i))
+    assert sorted(rows) == sorted(every[:quota])
+
+
+def test_edges_are_refined_until_few_rows_are_left(spark):
+    rows = spark.range(50_000).selectExpr("id % 3 AS g", "id % 1000 AS w", "abs(xxhash64(id)) AS k").where("k >= 0")
+    limits = spark.createDataFrame([(0, 1_000_000), (1, 5), (2, 10**9)], "g long, room long")
+    edge = radix_edge(rows, "g", "k", limits, 63, F.col("w"), enough=20)
+    plan = {r["g"]: r for r in edge.plan.collect()}
+    assert all(r["held"] <= 20 for r in plan.values())
+    for g, limit in ((0, 1_000_000), (1, 5)):
+        below = rows.join(edge.plan, "g").where((F.col("g") == g) & edge.below(F.col("k"))).agg(F.sum("w")).first()[0] or 0
+        at = rows.join(edge.plan, "g").where((F.col("g") == g) & edge.at(F.col("k"))).agg(F.sum("w")).first()[0]
+        assert below + plan[g]["room"] == limit and below < limit <= below + at
+    every = rows.join(edge.plan, "g").where((F.col("g") == 2) & (edge.below(F.col("k")) | edge.at(F.col("k")))).count()
+    assert every == rows.where("g = 2").count()
