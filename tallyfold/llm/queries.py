@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import (
-    archive, chat, decontaminate, fill_middle, licenses, overlap, packing, passages, rules, secrets, toxicity,
+    archive, chat, decontaminate, fill_middle, licenses, mixing, overlap, packing, passages, rules, secrets, toxicity,
 )
 from tallyfold.llm.common import stored, table
 from tallyfold.llm.labels import remainder
@@ -105,6 +105,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@query("op12_source_mixing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.by_source(table(spark, sf_dir, "documents"))
+
+
 @query("op13_fill_in_middle", fill_middle.oracle())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(table(spark, sf_dir, "documents"))
