@@ -47,7 +47,10 @@ def radix_edge(
     left in an edge only where they all share one key.
     """
     amount = F.lit(1) if amount is None else amount
-    plan = limits.select(group, F.lit(0).cast("bigint").alias("edge"), F.col("room").cast("bigint"))
+    # Written, so that Spark knows its size and chooses between broadcast and shuffle by it.
+    plan = stored(
+        limits.select(group, F.lit(0).cast("bigint").alias("edge"), F.col("room").cast("bigint")), "limits"
+    )
     running = Window.partitionBy(group).orderBy("edge").rowsBetween(Window.unboundedPreceding, 0)
     shift = bits
     while shift > 0:
