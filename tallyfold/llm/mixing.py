@@ -182,14 +182,19 @@ def drawn(sized: DataFrame, rounds: Mapping[str, tuple[int, int]], most: int) ->
     with one key are drawn together or not at all.
     """
     spark = sized.sparkSession
-    whole = spark.createDataFrame([(p, k) for p, (k, _) in rounds.items()], "_w string, times long")
+
+    def known(values: Mapping[str, int], schema: str) -> DataFrame:
+        """Written, so that Spark knows its size and chooses between broadcast and shuffle by it."""
+        return stored(spark.createDataFrame(list(values.items()), schema), "patterns")
+
+    whole = known({p: k for p, (k, _) in rounds.items()}, "_w string, times long")
     out = sized.join(whole, F.col("pattern") == F.col("_w")).drop("_w")
     wanted = {p: rest for p, (_, rest) in rounds.items() if rest > 0}
     rooms, missing = dict(wanted), dict(wanted)
     for _ in range(ROUNDS):
         if not rooms:
             break
-        limits = spark.createDataFrame(list(rooms.items()), "pattern string, room long")
+        limits = known(rooms, "pattern string, room long")
         bound = limits.select(F.col("pattern").alias("_r"), F.col("room").alias("_most"))
         fits = (F.col("size") > 0) & (F.col("size") <= F.col("_most")) & (F.col("times") < most)
         open_ = out.join(bound, F.col("pattern") == F.col("_r")).where(fits).select("pattern", "key", "size")
@@ -274,7 +279,7 @@ def mix(
         [(s, sizes[s], float(weights[s]), wanted[s], routed[s]) for s in sizes],
         "source string, source_size long, weight double, target double, routed long",
     )
-    return Mix(documents, sources, routes)
+    return Mix(documents, stored(sources, "sources"), routes)
 
 
 def by_source(docs: DataFrame) -> DataFrame:

@@ -166,7 +166,7 @@ def test_overlapping_sources(spark):
 def test_hot_source_and_one_huge_document(spark):
     docs = spark.range(30_000).selectExpr(
         "id AS doc_id", "repeat('w ', CAST(1 + id % 37 AS INT)) AS text", "IF(id % 3 < 2, 'hot', concat('s', id % 40)) AS source"
-    ).union(spark.range(1).selectExpr("30001L", "repeat('x ', 200000)", "'s1'"))
+    ).union(spark.range(1).selectExpr("30001L", "repeat('x ', 200000)", "'hot'"))
     rows = mixing.by_source(docs.repartition(7)).collect()
     for taken, want in check_mix(rows, [(d.doc_id, d.text, d.source) for d in docs.collect()]).values():
         assert want - 40 <= taken <= want + 1
