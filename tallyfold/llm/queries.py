@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import (
-    archive, chat, decontaminate, fill_middle, licenses, mixing, overlap, packing, passages, rules, secrets, toxicity,
+    archive, chat, decontaminate, fill_middle, licenses, mixing, overlap, packing, passages, rules, secrets, structure,
+    toxicity,
 )
 from tallyfold.llm.common import stored, table
 from tallyfold.llm.labels import remainder
@@ -105,6 +106,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@query("op11_structure_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return structure.repair(structure.damaged(turns), turns)
+
+
 @query("op12_source_mixing")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.by_source(table(spark, sf_dir, "documents"))
