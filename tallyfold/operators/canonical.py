@@ -33,11 +33,22 @@ def best_listings(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def canonical_jobs(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The 29-column export row: best snapshot, frame, detail, labels and discovery paths."""
+    """The 29-column export row: best snapshot, frame, detail, labels and discovery paths.
+
+    Where `classified_best` is at hand, its labels are taken from the best row itself.
+    """
     listings, frame = tables["listing_snapshots"], tables["search_queries"]
-    best = best_listings(tables).select(
-        *JOB, "query_id", "url", "title", "company", "location", "posted_text", "posted_at"
+    labelled = tables["classified_best"] if "classified_best" in tables else None
+    columns = (*JOB, "query_id", "url", "title", "company", "location", "posted_text", "posted_at")
+    labels = (
+        "role_family", "seniority", "track", F.col("workplace").alias("classified_workplace"),
+        F.col("confidence").alias("classification_confidence"),
     )
+    if labelled is None:
+        label_side = tables["classifications"].select(*JOB, *labels)
+        best = best_listings(tables).select(*columns).join(label_side, JOB, "left")
+    else:
+        best = labelled.select(*columns, *labels)
     frame_side = frame.select(
         "query_id",
         F.col("city_name").alias("canonical_city_name"),
@@ -50,21 +61,14 @@ def canonical_jobs(tables: Mapping[str, DataFrame]) -> DataFrame:
         *JOB, "description", "workplace_type", "employment_type", "salary_min", "salary_max",
         "salary_currency", "applicants_signal",
     )
-    label_side = tables["classifications"].select(
-        *JOB, "role_family", "seniority", "track",
-        F.col("workplace").alias("classified_workplace"),
-        F.col("confidence").alias("classification_confidence"),
-    )
     joined = (
         best.join(frame_side, "query_id", "left")
         .join(detail_side, JOB, "left")
-        .join(label_side, JOB, "left")
         .join(discovery_rollup(listings, frame), JOB, "left")
     )
     return joined.select(
-        *JOB, "url", "title", "company", "location", "posted_text", "posted_at",
-        *[c for c in frame_side.columns if c != "query_id"],
-        *detail_side.columns[2:], *label_side.columns[2:],
+        *columns[:2], *columns[3:], *frame_side.columns[1:], *detail_side.columns[2:],
+        *best.columns[-5:],
         "discovery_paths", "discovery_queries", "discovered_keywords", "discovered_cities",
     )
 

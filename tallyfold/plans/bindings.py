@@ -18,9 +18,8 @@ from tallyfold.functions.identity import VIEW_BASE, config_hash
 from tallyfold.functions.rules import pick
 from tallyfold.operators.dedupe import dedupe_best
 from tallyfold.operators.quality import quality_issues, quality_metrics
-from tallyfold.plans.market import classify_run
+from tallyfold.plans.market import classify_best, classify_run
 from tallyfold.schemas import TABLES
-from tallyfold.session import stored
 
 RUN_SPLIT = "2024-01-16 00:00:00"
 WINDOW_DAYS = 7
@@ -229,8 +228,9 @@ def dimension(listings: DataFrame, value: str, key: str) -> DataFrame:
 
 
 class JobTables(Mapping):
-    """Pipeline tables by name; each is written below the shared folder when it is first asked for,
-    so that reports which use a table many times compute it once."""
+    """Pipeline tables by name, each planned when it is first asked for and nothing written: a report
+    reads the columns it uses. `classified_best` holds best rows, details and labels in one row, so
+    that reports need not join labels to the rows they were made from."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._made: dict[str, DataFrame] = {}
@@ -244,6 +244,7 @@ class JobTables(Mapping):
             "classifications": lambda: classify_run(self),
             "quality_issues": self._issues,
             "best_listings": lambda: dedupe_best(self["listing_snapshots"]),
+            "classified_best": lambda: classify_best(self),
         }
 
     def _issues(self) -> DataFrame:
@@ -254,11 +255,11 @@ class JobTables(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = stored(self._makers[name](), name)
+            self._made[name] = self._makers[name]()
         return self._made[name]
 
     def __iter__(self) -> Iterator[str]:
-        """The pipeline tables; the best listings are no table of their own."""
+        """The pipeline tables; what is derived from them for reports is no table of its own."""
         return iter(TABLES)
 
     def __len__(self) -> int:

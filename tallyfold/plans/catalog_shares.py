@@ -193,7 +193,7 @@ ROLLUP_SQL = """
     FROM v_listings l LEFT JOIN v_frame f USING (query_id) GROUP BY 1, 2"""
 
 
-@query("canonical_jobs", f"""
+CANONICAL_SQL = f"""
     SELECT b.run_id, b.job_id, b.url, b.title, b.company, b.location, b.posted_text, b.posted_at,
            f.city_name AS canonical_city_name, f.city_key AS canonical_city_key,
            f.keyword AS canonical_keyword, f.experience_key AS canonical_experience_key,
@@ -207,8 +207,11 @@ ROLLUP_SQL = """
     LEFT JOIN v_frame f ON f.query_id = b.query_id
     LEFT JOIN v_details d ON d.run_id = b.run_id AND d.job_id = b.job_id
     LEFT JOIN v_class c ON c.run_id = b.run_id AND c.job_id = b.job_id
-    LEFT JOIN ({ROLLUP_SQL}) r ON r.run_id = b.run_id AND r.job_id = b.job_id""",
-    ("v_best", "v_frame", "v_details", "v_class"))
+    LEFT JOIN ({ROLLUP_SQL}) r ON r.run_id = b.run_id AND r.job_id = b.job_id"""
+CANONICAL_VIEWS = ("v_best", "v_frame", "v_details", "v_class")
+
+
+@query("canonical_jobs", CANONICAL_SQL, CANONICAL_VIEWS)
 def canonical_jobs(spark, sf):
     return cn.canonical_jobs(b.job_tables(spark, sf))
 

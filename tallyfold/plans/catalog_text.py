@@ -423,6 +423,9 @@ def pair_headings(spark, sf):
 
 # --- Incremental arrival --------------------------------------------------------------------
 
+# Buckets of the stored tables here, in proportion to the given tables.
+SMALL = 8
+
 
 @query("ingest_stream", """
     SELECT user_id, event_id, event_type, ts FROM (
@@ -432,12 +435,11 @@ def ingest_stream(spark, sf):
     """All events taken in as a stream, newest row per user."""
     schema = b.load(spark, sf, "events").schema
     root = scratch_path(spark, "ingest")
-    stream = st.stream_files(spark, sf, schema, "events.parquet")
+    stream = st.stream_files(spark, f"{sf}/events.parquet*", schema)
     st.ingest_stream(
-        stream, f"{root}/target", f"{root}/checkpoint", ["user_id"], ["event_id"]
+        stream, f"{root}/target", f"{root}/checkpoint", ["user_id"], ["event_id"], buckets=SMALL
     ).awaitTermination()
-    current = st.read_current(spark, f"{root}/target", schema, ["user_id"])
-    return current.select("user_id", "event_id", "event_type", "ts")
+    return st.read_current(spark, f"{root}/target").select("user_id", "event_id", "event_type", "ts")
 
 
 @query("stream_dedupe", "SELECT DISTINCT user_id, event_type FROM events")
@@ -445,7 +447,7 @@ def stream_dedupe(spark, sf):
     """First sight of each user and event type, kept across micro-batches."""
     schema = b.load(spark, sf, "events").schema
     root = scratch_path(spark, "stream_dedupe")
-    stream = st.stream_files(spark, sf, schema, "events.parquet")
+    stream = st.stream_files(spark, f"{sf}/events.parquet*", schema)
     first = st.stream_dedupe(stream, ["user_id", "event_type"], "ts", "60 days")
     (
         first.select("user_id", "event_type").writeStream.format("parquet")
@@ -482,9 +484,9 @@ def ingest_pages(spark, sf):
     for _ in arrivals(pages, "page_id", f"{root}/in"):
         stream = st.stream_files(spark, f"{root}/in", pages.schema)
         st.ingest_stream(
-            stream, f"{root}/target", f"{root}/checkpoint", ["href"], ["page_id", "rank"], cards
+            stream, f"{root}/target", f"{root}/checkpoint", ["href"], ["page_id", "rank"], cards, SMALL
         ).awaitTermination()
-    return st.read_current(spark, f"{root}/target", cards(pages).schema, ["href"])
+    return st.read_current(spark, f"{root}/target")
 
 
 @query("first_sight", f"""
@@ -498,6 +500,6 @@ def first_sight(spark, sf):
     for _ in arrivals(events, "event_id", f"{root}/in"):
         stream = st.stream_files(spark, f"{root}/in", events.schema)
         st.first_sight(
-            stream, f"{root}/target", f"{root}/checkpoint", ["user_id"], ["event_id"]
+            stream, f"{root}/target", f"{root}/checkpoint", ["user_id"], ["event_id"], SMALL
         ).awaitTermination()
-    return spark.read.schema(events.schema).parquet(f"{root}/target").select(events.columns)
+    return st.read_current(spark, f"{root}/target").select(events.columns)

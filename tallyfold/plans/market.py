@@ -8,29 +8,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.text import NOT_AVAILABLE, col, or_unknown
-from tallyfold.operators.bootstrap import bootstrap_ci
+from tallyfold.operators.bootstrap import bootstrap_shares
 from tallyfold.operators.canonical import best_listings, canonical_with_frame, detail_lookup
 from tallyfold.operators.classify import classify_jobs
 from tallyfold.operators.dedupe import first_per_key, top_per_group
 from tallyfold.operators.overlap import overlap_metrics
 from tallyfold.operators.shares import inverse_weight, share_in_group, total_of, value_shares
 from tallyfold.plans import taxonomy as tx
+from tallyfold.session import stored
 
 JOB = ["run_id", "job_id"]
 LABELS = ("role_family", "seniority", "track", "workplace", "confidence", "reasons")
 
 
+def classify_best(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Best row per job with its detail and labels, as stored under `classified_best` or made here."""
+    jobs = detail_lookup(best_listings(tables), tables["job_details"])
+    return classify_jobs(jobs, "title", "description", "workplace_hint")
+
+
 def classify_run(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Classifications of every run: best row per job, its detail, then the rules."""
-    jobs = detail_lookup(best_listings(tables), tables["job_details"])
-    labelled = classify_jobs(jobs, "title", "description", "workplace_hint")
+    labelled = tables["classified_best"] if "classified_best" in tables else classify_best(tables)
     return labelled.select(*JOB, *LABELS, F.col("scraped_at").alias("classified_at"))
 
 
 def classified_jobs(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Canonical jobs with frame attributes and labels: the table all reports start from."""
-    best = best_listings(tables).select(*JOB, "query_id", "title", "company", "location")
-    framed = canonical_with_frame(best, tables["search_queries"], ("city_name", "target_weight"))
+    columns = [*JOB, "query_id", "title", "company", "location"]
+    frame, attributes = tables["search_queries"], ("city_name", "target_weight")
+    if "classified_best" in tables:
+        best = tables["classified_best"].select(*columns, *LABELS[:5])
+        return canonical_with_frame(best, frame, attributes)
+    framed = canonical_with_frame(best_listings(tables).select(*columns), frame, attributes)
     return framed.join(tables["classifications"].select(*JOB, *LABELS[:5]), JOB, "left")
 
 
@@ -76,17 +86,14 @@ def report_sections(jobs: DataFrame) -> DataFrame:
     )
 
 
+REPORT_COLUMNS = ("run_id", "job_id", "role_family", "seniority", "city_name", "target_weight")
 HEADLINES = {"ai_share": ("role_family", "AI/ML"), "entry_share": ("seniority", "Entry")}
 
 
 def report_intervals(jobs: DataFrame) -> DataFrame:
-    """Bootstrap intervals of the two headline shares, per run."""
-    parts = [
-        bootstrap_ci(jobs, F.col(column) == value, ["job_id"], by=["run_id"])
-        .withColumn("metric", F.lit(metric))
-        for metric, (column, value) in HEADLINES.items()
-    ]
-    return parts[0].unionByName(parts[1])
+    """Bootstrap intervals of the two headline shares, per run, from one pass over the jobs."""
+    conditions = {metric: F.col(column) == value for metric, (column, value) in HEADLINES.items()}
+    return bootstrap_shares(jobs, conditions, ["job_id"], by=["run_id"])
 
 
 def report_overlap(listings: DataFrame) -> DataFrame:
@@ -103,9 +110,10 @@ def market_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """All report sections as (run_id, section, segment, sub, n, share, weighted_share).
 
     The interval section has a line for each bound of a headline share. Every run has a line with its
-    number of actionable issues, 0 included.
+    number of actionable issues, 0 included. The labelled jobs, six narrow columns of them, are used
+    by several sections and written once; nothing else is.
     """
-    jobs = classified_jobs(tables)
+    jobs = stored(classified_jobs(tables).select(*REPORT_COLUMNS), "report-jobs")
     sections = report_sections(jobs)
     none = F.lit(None).cast("double")
     no_count = F.lit(None).cast("bigint").alias("n")

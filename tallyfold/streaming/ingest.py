@@ -1,8 +1,8 @@
 """Incremental arrival of observations.
 
-The target is append-only: every micro-batch owns one `batch_id` partition, which a replay
-overwrites with the same rows. Readers resolve the newest row per key, and `compact` folds
-the batches into one from time to time. No batch ever rewrites the whole table.
+The target is a stored table in buckets by key (`BucketedTable`): a micro-batch adds files to the buckets it
+hits, runs of similar size are merged, and readers see the newest row per key of one published version.
+A replayed batch is known by its number and changes nothing.
 """
 
 from __future__ import annotations
@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyfold.operators.dedupe import first_per_key
-
-BATCH = "batch_id"
+from tallyfold.sources.bucketed import BUCKETS, BucketedTable
 
 
 def stream_files(
@@ -31,32 +29,31 @@ def stream_files(
 
 
 def write_batch(
-    batch: DataFrame, batch_id: int, target: str, keys: Sequence[str], order: Sequence[str]
+    batch: DataFrame, batch_id: int, target: str, keys: Sequence[str], order: Sequence[str],
+    buckets: int = BUCKETS, absent_only: bool = False, source: str = "",
 ) -> None:
-    """Store one batch, already reduced to its newest row per key."""
-    newest = first_per_key(batch, keys, [F.col(c).desc_nulls_last() for c in order])
-    (
-        newest.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .parquet(target)
-    )
+    """Put one batch into the table at `target`, made by the first batch.
 
+    Of several rows of a key, that with the highest `order` counts, nulls last; with `absent_only`, that
+    with the lowest, and only if no earlier batch had the key.
+    """
+    spark = batch.sparkSession
+    table = BucketedTable.open(spark, target, batch.schema, keys, buckets=buckets)
+    direction = F.asc_nulls_last if absent_only else F.desc_nulls_last
+    table.upsert(batch, [direction(c) for c in order], batch_id, source, absent_only)
 
-def ingest_stream(
-    stream: DataFrame,
-    target: str,
-    checkpoint: str,
-    keys: Sequence[str],
-    order: Sequence[str],
-    transform: Callable[[DataFrame], DataFrame] | None = None,
+
+def _started(
+    rows: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order: Sequence[str],
+    buckets: int, absent_only: bool,
 ) -> StreamingQuery:
-    """Start taking in everything available; the checkpoint is what makes it resumable."""
-    rows = stream if transform is None else transform(stream)
+    spark = rows.sparkSession
+    BucketedTable.open(spark, target, rows.schema, keys, buckets=buckets)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, target, keys, order)
+        # The id of the query lives in its checkpoint: batches of a new one are numbered anew.
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        write_batch(batch, batch_id, target, keys, order, buckets, absent_only, query)
 
     return (
         rows.writeStream.foreachBatch(sink)
@@ -66,63 +63,39 @@ def ingest_stream(
     )
 
 
-def write_unseen(
-    batch: DataFrame, batch_id: int, target: str, keys: Sequence[str], order: Sequence[str]
-) -> None:
-    """Store the first row of each key that no earlier batch has brought; a replay does the same."""
-    spark = batch.sparkSession
-    stored = T.StructType([*batch.schema.fields, T.StructField(BATCH, T.LongType())])
-    earlier = spark.read.schema(stored).parquet(target).where(F.col(BATCH) < batch_id)
-    fresh = first_per_key(batch, keys, [F.col(c).asc_nulls_last() for c in order])
-    known = earlier.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    (
-        fresh.join(known, same, "left_anti")
-        .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .parquet(target)
-    )
+def ingest_stream(
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    buckets: int = BUCKETS,
+) -> StreamingQuery:
+    """Start taking in everything available; the checkpoint is what makes it resumable."""
+    rows = stream if transform is None else transform(stream)
+    return _started(rows, target, checkpoint, keys, order, buckets, False)
 
 
 def first_sight(
-    stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]
+    stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order: Sequence[str],
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """First row of every key over all time: set-based against the target, so nothing is forgotten
-    and no state is held. `stream_dedupe` is the form with bounded memory."""
-    empty = stream.sparkSession.createDataFrame([], stream.schema)
-    none = empty.withColumn(BATCH, F.lit(0).cast("bigint"))
-    none.write.mode("append").partitionBy(BATCH).parquet(target)
+    """First row of every key over all time: a batch is held against the buckets it hits, so nothing is
+    forgotten and no state is held. `stream_dedupe` is the form with bounded memory."""
+    return _started(stream, target, checkpoint, keys, order, buckets, True)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        write_unseen(batch, batch_id, target, keys, order)
 
-    return (
-        stream.writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def read_current(
-    spark: SparkSession, target: str, schema: T.StructType, keys: Sequence[str]
-) -> DataFrame:
+def read_current(spark: SparkSession, target: str) -> DataFrame:
     """Newest row per key over all batches: the later batch wins."""
-    stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    rows = spark.read.schema(stored).parquet(target)
-    return first_per_key(rows, keys, [F.desc(BATCH)]).drop(BATCH)
+    return BucketedTable(spark, target).current()
 
 
-def compact(
-    spark: SparkSession, target: str, into: str, schema: T.StructType, keys: Sequence[str]
-) -> None:
-    """Fold all batches into batch 0 of a new folder; the old one stays until swapped out."""
-    current = read_current(spark, target, schema, keys).withColumn(
-        BATCH, F.lit(0).cast("bigint")
-    )
-    current.write.mode("overwrite").partitionBy(BATCH).parquet(into)
+def compact(spark: SparkSession, target: str, keep: int = 2) -> None:
+    """One run per bucket; files that only versions before the newest `keep` name are deleted."""
+    table = BucketedTable(spark, target)
+    table.compact()
+    table.sweep(keep)
 
 
 def stream_dedupe(

@@ -73,7 +73,24 @@ def test_groups_with_a_null_one(spark, weight):
     assert [(r["g"], r["observed"]) for r in got] == [(None, 0.3), (1, 0.3)]
 
 
-def test_cost_follows_the_buckets(spark):
-    """Rows are aggregated before replicates are made."""
-    plan = ci(jobs(spark, 30, 100))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Generate explode") < plan.rindex("Aggregate")
+def test_no_replicate_becomes_a_row(spark):
+    """Two aggregations over the rows, and draws that are made once, in a subquery."""
+    df = ci(jobs(spark, 30, 100), by=["hit"])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and "Expand" not in plan and plan.count("scalar-subquery") == 1
+
+
+def test_several_shares_from_one_pass(spark):
+    df = jobs(spark, 300, 1000).withColumn("rare", F.col("id") < 50).withColumn("g", F.col("id") % 2)
+    both = bs.bootstrap_shares(df, {"a": F.col("hit"), "b": F.col("rare")}, ["id"], by=["g"])
+    got = {(r.g, r.metric): (r.observed, r.lower, r.upper) for r in both.collect()}
+    for name, column in (("a", "hit"), ("b", "rare")):
+        for r in bs.bootstrap_ci(df, F.col(column), ["id"], by=["g"]).collect():
+            assert got[r.g, name] == (r.observed, r.lower, r.upper)
+    assert len(got) == 4
+
+
+def test_many_groups(spark):
+    df = spark.range(30_000).select("id", (F.col("id") % 300).alias("g"), (F.col("id") % 7 < 2).alias("hit"))
+    rows = ci(df, by=["g"]).collect()
+    assert len(rows) == 300 and all(r.lower <= r.observed <= r.upper for r in rows)

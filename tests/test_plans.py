@@ -9,25 +9,47 @@ from tallyfold.operators import canonical as cn
 from tallyfold.operators import dedupe as dd
 from tallyfold.operators import shares as sh
 from tallyfold.operators import upsert as up
+from tallyfold import session
 from tallyfold.plans import bindings as b
+from tallyfold.plans import market
 from tallyfold.plans.catalog import QUERIES
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# Read all tables of a run; the listings are derived from the events once and then stored.
-REPORTS = ("canonical_jobs", "market_report", "quality_issues", "run_progress")
+@pytest.fixture
+def written(monkeypatch):
+    """Columns of every intermediate that a query writes."""
+    found, write = [], market.stored
+    monkeypatch.setattr(market, "stored", lambda df, name: found.append(df.columns) or write(df, name))
+    return found
 
 
-@pytest.mark.parametrize("name", REPORTS)
-def test_reports_do_not_read_the_events_again(spark, sf_dir, name):
-    assert "props" not in plan_of(QUERIES[name](spark, sf_dir))
+@pytest.mark.parametrize("name", ["city_ai_share", "canonical_jobs", "quality_issues", "top_companies", "run_progress"])
+def test_reports_write_nothing(spark, sf_dir, name, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a report wrote a table")
+
+    monkeypatch.setattr(session, "scratch_path", refuse)
+    monkeypatch.setattr(market, "stored", refuse)
+    assert QUERIES[name](spark, sf_dir).columns
+
+
+def test_the_report_writes_narrow_jobs_once(spark, sf_dir, written):
+    QUERIES["market_report"](spark, sf_dir)
+    assert written == [list(market.REPORT_COLUMNS)]
+
+
+def test_labels_are_not_joined_to_their_own_rows(spark, sf_dir):
+    """One window finds the best rows, and their labels come from the same row."""
+    plan = plan_of(QUERIES["city_ai_share"](spark, sf_dir))
+    assert plan.count("Window [") == 1 and "ReadSchema: struct<doc_id:bigint,lang:string>" in plan
 
 
 def test_coverage_shuffles_the_facts_once(spark, sf_dir):
-    listings = b.stored(b.v_listings(spark, sf_dir), "listings")
-    frame = b.stored(b.frame_of(listings), "frame")
+    listings = session.stored(b.v_listings(spark, sf_dir), "listings")
+    frame = session.stored(b.frame_of(listings), "frame")
     plan = plan_of(cn.frame_coverage(frame, listings))
     # Every exchange but that of the distinct jobs is over rows as few as the frame has.
     assert plan.count("job_id#") and plan.count("Cartesian") == 0

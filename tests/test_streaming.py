@@ -2,6 +2,7 @@ from datetime import datetime, timedelta
 
 from tallyfold.operators.pages import listings_from_pages
 from tallyfold.schemas import LISTING_SNAPSHOTS
+from tallyfold.sources.bucketed import BucketedTable
 from tallyfold.streaming import ingest as st
 
 SCHEMA = "k int, v string, at timestamp_ntz"
@@ -18,8 +19,8 @@ def schema_of(spark):
 
 def run(spark, tmp_path):
     stream = st.stream_files(spark, str(tmp_path / "in"), schema_of(spark), files_per_batch=1)
-    st.ingest_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"), ["k"], ["at", "v"]).awaitTermination()
-    df = st.read_current(spark, str(tmp_path / "out"), schema_of(spark), ["k"])
+    st.ingest_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"), ["k"], ["at", "v"], buckets=3).awaitTermination()
+    df = st.read_current(spark, str(tmp_path / "out"))
     return sorted((r["k"], r["v"]) for r in df.collect())
 
 
@@ -36,18 +37,28 @@ def test_replayed_batch_leaves_the_table_unchanged(spark, tmp_path):
     target = str(tmp_path / "t")
     for _ in range(2):
         st.write_batch(batch, 0, target, ["k"], ["at", "v"])
-    assert spark.read.parquet(target).count() == 2
-    assert {r["v"] for r in st.read_current(spark, target, schema_of(spark), ["k"]).collect()} == {"z", "b"}
+    assert BucketedTable(spark, target).version == 2
+    assert {r["v"] for r in st.read_current(spark, target).collect()} == {"z", "b"}
+
+
+def test_a_new_checkpoint_starts_over(spark, tmp_path):
+    """Its batches are numbered from 0 again, and are no replays."""
+    put(spark, str(tmp_path / "in"), (1, "a", T0))
+    assert run(spark, tmp_path) == [(1, "a")]
+    put(spark, str(tmp_path / "in"), (1, "b", T0 + timedelta(1)), (4, "d", T0))
+    stream = st.stream_files(spark, str(tmp_path / "in"), schema_of(spark))
+    st.ingest_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp2"), ["k"], ["at"]).awaitTermination()
+    assert sorted(r["v"] for r in st.read_current(spark, str(tmp_path / "out")).collect()) == ["b", "d"]
 
 
 def test_compact_keeps_the_current_rows(spark, tmp_path):
-    target, into = str(tmp_path / "t"), str(tmp_path / "u")
+    target = str(tmp_path / "t")
     for i in range(3):
-        st.write_batch(spark.createDataFrame([(1, f"v{i}", T0), (i + 5, "x", T0)], SCHEMA), i, target, ["k"], ["at"])
-    before = sorted(tuple(r) for r in st.read_current(spark, target, schema_of(spark), ["k"]).collect())
-    st.compact(spark, target, into, schema_of(spark), ["k"])
-    assert spark.read.parquet(into).count() == 4
-    assert sorted(tuple(r) for r in st.read_current(spark, into, schema_of(spark), ["k"]).collect()) == before
+        st.write_batch(spark.createDataFrame([(1, f"v{i}", T0), (i + 5, "x", T0)], SCHEMA), i, target, ["k"], ["at"], 2)
+    before = sorted(tuple(r) for r in st.read_current(spark, target).collect())
+    st.compact(spark, target, keep=1)
+    assert len(BucketedTable(spark, target).runs) == 2
+    assert sorted(tuple(r) for r in st.read_current(spark, target).collect()) == before
 
 
 def test_stream_dedupe_across_batches(spark, tmp_path):
@@ -72,8 +83,9 @@ def test_pages_arrive_as_listings(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(str(tmp_path / "in"))
         stream = st.stream_files(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema)
         st.ingest_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"), ["snapshot_id"],
-                         ["scraped_at"], listings_from_pages).awaitTermination()
-        df = st.read_current(spark, str(tmp_path / "out"), LISTING_SNAPSHOTS, ["snapshot_id"])
+                         ["scraped_at"], listings_from_pages, 2).awaitTermination()
+        df = st.read_current(spark, str(tmp_path / "out"))
+        assert set(df.columns) == set(LISTING_SNAPSHOTS.fieldNames())
         return sorted((r["snapshot_id"], r["title"]) for r in df.collect())
 
     assert arrive(card.format(7, "Cook"), T0) == [("q:1:1:7", "Cook")]
@@ -83,12 +95,11 @@ def test_pages_arrive_as_listings(spark, tmp_path):
 
 def test_first_sight_never_forgets(spark, tmp_path):
     target, keys = str(tmp_path / "seen"), ["k"]
-    spark.createDataFrame([], SCHEMA + ", batch_id long").write.partitionBy("batch_id").parquet(target)
     batches = [
         [(1, "a", T0), (1, "b", T0 + timedelta(1)), (None, "n", T0)],
         [(1, "late", T0 + timedelta(400)), (2, "c", T0), (None, "m", T0)],
     ]
     for number in (0, 1, 1, 0):  # replays included
-        st.write_unseen(spark.createDataFrame(batches[number], SCHEMA), number, target, keys, ["at", "v"])
-    got = spark.read.schema(SCHEMA).parquet(target).collect()
+        st.write_batch(spark.createDataFrame(batches[number], SCHEMA), number, target, keys, ["at", "v"], 2, True)
+    got = st.read_current(spark, target).collect()
     assert sorted((r["k"] or 0, r["v"]) for r in got) == [(0, "n"), (1, "a"), (2, "c")]
