@@ -135,6 +135,49 @@ def classify_jobs(
     return labelled.drop("_title", "_place_text", "_role", "_place", "_level")
 
 
+TITLE_LABELS = ("role_family", "seniority", "track", "role_reason", "seniority_reason")
+
+
+def title_dictionary(titles: DataFrame, title: str = "title") -> DataFrame:
+    """Each distinct normalised title once, as `title_key`, with what the rules say of it."""
+    distinct = titles.select(norm_text(title).alias("title_key")).distinct()
+    key = F.col("title_key")
+    staged = distinct.withColumn("_role", role_rule(key))
+    staged = staged.withColumn("role_family", role_label(F.col("_role")))
+    staged = staged.withColumn("_level", seniority_rule(key, F.col("role_family")))
+    staged = staged.withColumns({
+        "seniority": seniority_label(F.col("_level")),
+        "role_reason": role_reason(F.col("_role")),
+        "seniority_reason": seniority_reason(F.col("_level")),
+    })
+    track = classify_track(key, F.col("role_family"), F.col("seniority")).alias("track")
+    return staged.select("title_key", "role_family", "seniority", track, *TITLE_LABELS[3:])
+
+
+def classify_distinct(
+    df: DataFrame, title: str = "title", dictionary: DataFrame | None = None
+) -> DataFrame:
+    """Adds role_family, seniority, track and the two reasons, with rules run once per distinct title.
+
+    Observations repeat their titles many times over. The distinct ones are found with a map-side
+    combine, so a title that holds a third of the rows ships one row per task; their labels come
+    back by a join on the normalised title, which Spark broadcasts if the dictionary is small by its
+    measured size, and otherwise shuffles, where AQE splits hot titles. `dictionary` can be one that
+    was kept from an earlier run; titles it lacks are labelled anew.
+    """
+    keyed = df.withColumn("_title_key", norm_text(title))
+    if dictionary is None:
+        labels = title_dictionary(df, title)
+    else:
+        known = dictionary.select("title_key", *TITLE_LABELS)
+        unknown = keyed.select(F.col("_title_key").alias("title_key")).distinct().join(
+            known.select("title_key"), "title_key", "left_anti"
+        )
+        labels = known.unionByName(title_dictionary(unknown, "title_key"))
+    joined = keyed.join(labels, F.col("_title_key") == F.col("title_key"), "left")
+    return joined.drop("_title_key", "title_key")
+
+
 def _legacy(title: str | Column, rules, default: str, missing: str | None = "Unknown") -> Column:
     label = label_by_rules(F.lower(col(title)), rules, default)
     return F.when(col(title).isNull(), F.lit(missing)).otherwise(label)

@@ -1,12 +1,17 @@
-"""Registered queries: stored tables that take in batches."""
+"""Registered queries: stored tables that take in batches, and work done once per distinct value."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyfold.functions.facts import SKILLS
+from tallyfold.operators import classify as cl
+from tallyfold.operators import phrases as ph
 from tallyfold.plans import bindings as b
+from tallyfold.plans import taxonomy as tx
 from tallyfold.plans.catalog_shares import CANONICAL_SQL, CANONICAL_VIEWS
 from tallyfold.plans.incremental import JobStore
+from tallyfold.plans.oracle_views import LEFT, RIGHT, norm, q, role_sql, seniority_sql, skills_sql, track_sql
 from tallyfold.plans.registry import query
 from tallyfold.schemas import JOB_DETAILS, LISTING_SNAPSHOTS, SEARCH_QUERIES
 from tallyfold.session import scratch_path, stored
@@ -75,3 +80,63 @@ def canonical_incremental(spark, sf):
             for name, df in given.items()
         }, number)
     return store.jobs.current()
+
+
+# --- Rules once per distinct title --------------------------------------------------------------
+
+LISTING_LABELS = f"""
+    SELECT snapshot_id, role_family, seniority, {track_sql('t', 'role_family', 'seniority')} AS track
+    FROM (SELECT *, {seniority_sql('t', 'role_family')} AS seniority
+          FROM (SELECT snapshot_id, {norm('title')} AS t, {role_sql(norm('title'))} AS role_family
+                FROM v_listings))"""
+
+
+@query("classify_listings", LISTING_LABELS, "v_listings")
+def classify_listings(spark, sf):
+    """Labels of every observation, from a dictionary of their distinct titles."""
+    return cl.classify_distinct(b.v_listings(spark, sf)).select("snapshot_id", "role_family", "seniority", "track")
+
+
+@query("classify_with_dictionary", LISTING_LABELS, "v_listings")
+def classify_with_dictionary(spark, sf):
+    """The dictionary of the first run is kept; the second run labels only titles that are new to it."""
+    listings = b.v_listings(spark, sf)
+    first = stored(cl.title_dictionary(listings.where(F.col("run_id") == "run_a")), "titles")
+    return cl.classify_distinct(listings, dictionary=first).select("snapshot_id", "role_family", "seniority", "track")
+
+
+# --- Many terms in one pass ---------------------------------------------------------------------
+
+
+@query("signal_phrases", " UNION ALL ".join(
+    f"SELECT {q(name)} AS label, n, round(n / total, 9) AS share FROM (SELECT count(*) AS total, "
+    f"count(*) FILTER (regexp_matches(lower(description), {q(f'{LEFT}(?:{words}){RIGHT}')})) AS n FROM v_docs)"
+    for name, words in tx.SIGNALS.items()), "v_docs")
+def signal_phrases(spark, sf):
+    """Shares of signals, their words found by a join."""
+    terms = ph.term_table(spark, {name: words.split("|") for name, words in tx.SIGNALS.items()})
+    return ph.term_counts(b.v_details(spark, sf), ["doc_id"], "description", terms)
+
+
+@query("skill_phrases", f"""
+    SELECT doc_id, array_to_string({skills_sql('description')}, ',') AS skills FROM v_docs""", "v_docs")
+def skill_phrases(spark, sf):
+    found = ph.terms_per_row(b.v_details(spark, sf), ["doc_id"], "description", SKILLS)
+    return found.select("doc_id", F.array_join("terms", ",").alias("skills"))
+
+
+PAIR = "[a-z0-9]+ [a-z0-9]+"
+
+
+@query("search_terms", f"""
+    WITH terms AS (SELECT DISTINCT regexp_extract(lower(text), '{PAIR}') AS term FROM benchmark),
+    d AS (SELECT lower(text) AS text FROM documents)
+    SELECT term AS label, count(text) AS n, round(count(text) / (SELECT count(*) FROM d), 9) AS share
+    FROM terms LEFT JOIN d ON CASE WHEN contains(d.text, term)
+        THEN regexp_matches(d.text, '{LEFT}' || term || '{RIGHT}') ELSE false END
+    WHERE term <> '' GROUP BY 1""")
+def search_terms(spark, sf):
+    """For the first two words of every benchmark item: how many documents name them."""
+    items = b.load(spark, sf, "benchmark").select(F.regexp_extract(F.lower("text"), PAIR, 0).alias("term"))
+    terms = ph.as_terms(items.select(F.col("term").alias("label"), "term"))
+    return ph.term_counts(b.load(spark, sf, "documents"), ["doc_id"], "text", terms)
