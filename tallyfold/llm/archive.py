@@ -49,29 +49,41 @@ def digested(pages: DataFrame) -> DataFrame:
     )
 
 
+# Fixed value: the profile of revisits that have no block because the payload is known.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+
+
 def header(date: str) -> Column:
-    """WARC header up to and with the empty line; line breaks in a url are percent-encoded."""
-    def line(name: str, value: Column) -> Column:
-        return F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
+    """WARC header up to and with the empty line; line breaks in a url are percent-encoded.
+
+    Record ids are unique even where page ids are null or repeat, so page ids have fields of their own.
+    """
+    def line(name: str, value: Column | str) -> Column:
+        return F.concat(F.lit(f"{name}: "), F.lit(value) if isinstance(value, str) else value, F.lit(CRLF))
+
+    def uri(column: str) -> Column:
+        url = F.coalesce(F.col(column), F.lit(""))
+        return F.replace(F.replace(url, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
-    url = F.coalesce(F.col("url"), F.lit(""))
-    url = F.replace(F.replace(url, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     revisit = F.col("record_type") == "revisit"
-    kept = F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes")).cast("string")
+    block = F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes")).cast("string")
     return F.concat(
         F.lit(f"WARC/1.1{CRLF}"),
         line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), page, F.lit(">"))),
-        F.when(
-            revisit,
-            line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
-        ).otherwise(""),
-        line("WARC-Target-URI", url),
-        line("WARC-Date", F.lit(date)),
+        line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), F.expr("uuid()"), F.lit(">"))),
+        line("WARC-Page-ID", page),
+        F.when(revisit, F.concat(
+            line("WARC-Profile", PROFILE),
+            line("WARC-Refers-To-Target-URI", uri("first_url")),
+            line("WARC-Refers-To-Date", date),
+            line("WARC-Refers-To-Page-ID", F.col("refers_to").cast("string")),
+        )).otherwise(""),
+        line("WARC-Target-URI", uri("url")),
+        line("WARC-Date", date),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("payload_digest"))),
-        line("Content-Type", F.lit("text/html; charset=utf-8")),
-        line("Content-Length", kept),
+        line("Content-Type", "text/html; charset=utf-8"),
+        line("Content-Length", block),
         F.lit(CRLF),
     ).cast("binary")
 
@@ -85,7 +97,9 @@ def write_archive(pages: DataFrame, path: str, date: str = "2026-01-01T00:00:00Z
     Null page ids are never referred to unless no other has the payload. Other columns are ignored.
     """
     rows = digested(pages)
-    first = rows.groupBy("payload_digest").agg(F.min("page_id").alias("first_id"))
+    first = rows.groupBy("payload_digest").agg(
+        F.min("page_id").alias("first_id"), F.min_by("url", "page_id").alias("first_url")
+    )
     found = rows.drop("payload").join(first, "payload_digest")
     revisit = (F.col("payload_bytes") >= MIN_REVISIT_BYTES) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     headers = found.select(
@@ -101,11 +115,13 @@ def write_archive(pages: DataFrame, path: str, date: str = "2026-01-01T00:00:00Z
 
 
 def read_records(spark, path: str) -> DataFrame:
-    """Original records: page_id, header, payload, record (header, payload and closing lines).
+    """Original records: page_id, header, payload, record (its exact bytes: header, block, closing lines).
 
-    Fails on a payload whose digest is not the one it is stored under, and on a missing payload.
+    The block of a response is its payload. A revisit has none, as its header says; its payload, that
+    of the record it refers to, stands in `payload` all the same. Fails on a payload whose digest is
+    not the one it is stored under, and on a missing payload. page_id has the type it was written with.
     """
-    headers = spark.read.schema("page_id long, header binary, digest string").parquet(f"{path}/headers")
+    headers = spark.read.parquet(f"{path}/headers").select("page_id", "header", "digest")
     payloads = spark.read.schema("digest string, packed binary").parquet(f"{path}/payloads")
     joined = headers.join(payloads, "digest", "left").select(
         "page_id", "header", "digest", inflated("packed").alias("payload")
@@ -116,7 +132,9 @@ def read_records(spark, path: str) -> DataFrame:
         F.raise_error(F.concat(wrong, F.col("digest"))).cast("binary")
     )
     sound = joined.select("page_id", "header", payload.alias("payload"))
-    return sound.select("*", F.concat("header", "payload", F.lit(CRLF * 2).cast("binary")).alias("record"))
+    revisit = F.col("header").cast("string").startswith(f"WARC/1.1{CRLF}WARC-Type: revisit{CRLF}")
+    block = F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
+    return sound.select("*", F.concat("header", block, F.lit(CRLF * 2).cast("binary")).alias("record"))
 
 
 def described(records: DataFrame) -> DataFrame:
@@ -134,14 +152,15 @@ def described(records: DataFrame) -> DataFrame:
         field("WARC-Type").alias("record_type"),
         F.when(
             field("WARC-Type") == "revisit",
-            F.regexp_extract(field("WARC-Refers-To"), "^<urn:page:(-?[0-9]+)>$", 1).cast("long"),
+            field("WARC-Refers-To-Page-ID").cast(records.schema["page_id"].dataType),
         ).alias("refers_to"),
         field("WARC-Target-URI").alias("url"),
     )
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Archive the pages below the shared folder and describe the records read back."""
+    """Archive the pages below the shared folder and describe the records read back, one row per page row:
+    nulls, repeated rows, very long payloads and empty tables as in `write_archive`."""
     spark = pages.sparkSession
     path = scratch_path(spark, "archive")
     write_archive(pages, path)
