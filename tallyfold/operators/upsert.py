@@ -102,7 +102,8 @@ def run_guard(runs: DataFrame, incoming: DataFrame, enforce: bool = True) -> Dat
     """State of the requested runs: new ones start, known ones resume.
 
     A known run with another config hash fails the job when the row is written; with
-    `enforce=False` it is reported as `conflict` instead.
+    `enforce=False` it is reported as `conflict` instead. A run that starts or resumes is not over:
+    its `ended_at`, if it has one, goes.
     """
     known = runs.select("run_id", F.col("config_hash").alias("known_hash"))
     joined = incoming.join(known, "run_id", "left")
@@ -118,6 +119,37 @@ def run_guard(runs: DataFrame, incoming: DataFrame, enforce: bool = True) -> Dat
         .when(conflict, verdict)
         .otherwise(F.lit("resumed"))
     )
-    return joined.withColumn("action", action).withColumn(
+    out = joined.withColumn("action", action).withColumn(
         "status", F.when(F.col("action") != "conflict", F.lit("running"))
     ).drop("known_hash")
+    if "ended_at" not in out.columns:
+        return out
+    kept = F.when(F.col("action") == "conflict", F.col("ended_at"))
+    return out.withColumn("ended_at", kept)
+
+
+def resume_runs(runs: DataFrame, started: DataFrame) -> DataFrame:
+    """The run table after `run_guard` let runs start: known ones run again and have no end, new ones
+    come in, and those in conflict stay as they are."""
+    fine = started.where(F.col("action") != "conflict")
+    known = fine.where(F.col("action") == "resumed").select(F.col("run_id").alias("_run"))
+    again = F.col("_run").isNotNull()
+    kept = runs.join(known, F.col("run_id") == F.col("_run"), "left").withColumns({
+        "status": F.when(again, F.lit("running")).otherwise(F.col("status")),
+        "ended_at": F.when(~again, F.col("ended_at")),
+    }).select(runs.columns)
+    new = fine.where(F.col("action") == "new")
+    return kept.unionByName(new.select(*[c for c in runs.columns if c in new.columns]), allowMissingColumns=True)
+
+
+def finish_runs(runs: DataFrame, finished: DataFrame) -> DataFrame:
+    """The run table after runs ended: `finished` has run_id, status and ended_at. Only a running run can
+    end; what ended before keeps its end."""
+    ended = finished.select(
+        F.col("run_id").alias("_run"), F.col("status").alias("_status"), F.col("ended_at").alias("_ended")
+    )
+    over = F.col("_run").isNotNull() & (F.col("status") == "running")
+    return runs.join(ended, F.col("run_id") == F.col("_run"), "left").withColumns({
+        "ended_at": F.when(over, F.col("_ended")).otherwise(F.col("ended_at")),
+        "status": F.when(over, F.coalesce("_status", F.lit("complete"))).otherwise(F.col("status")),
+    }).select(runs.columns)

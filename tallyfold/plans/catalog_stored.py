@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyfold.functions.facts import SKILLS
+from tallyfold.functions.identity import hash32
 from tallyfold.operators import classify as cl
+from tallyfold.operators import dedupe as dd
 from tallyfold.operators import phrases as ph
+from tallyfold.operators import sketches as sk
+from tallyfold.operators import upsert as up
 from tallyfold.plans import bindings as b
 from tallyfold.plans import taxonomy as tx
 from tallyfold.plans.catalog_shares import CANONICAL_SQL, CANONICAL_VIEWS
+from tallyfold.plans.catalog_tables import EXPORT_SQL, EXPORT_VIEWS, EXPORTED
 from tallyfold.plans.incremental import JobStore
 from tallyfold.plans.oracle_views import LEFT, RIGHT, norm, q, role_sql, seniority_sql, skills_sql, track_sql
 from tallyfold.plans.registry import query
-from tallyfold.schemas import JOB_DETAILS, LISTING_SNAPSHOTS, SEARCH_QUERIES
+from tallyfold.schemas import JOB_DETAILS, LISTING_SNAPSHOTS, SEARCH_QUERIES, TABLES
 from tallyfold.session import scratch_path, stored
+from tallyfold.sources import published as pb
 from tallyfold.sources.bucketed import BucketedTable
 
 # Buckets in proportion to the given tables.
@@ -140,3 +146,67 @@ def search_terms(spark, sf):
     items = b.load(spark, sf, "benchmark").select(F.regexp_extract(F.lower("text"), PAIR, 0).alias("term"))
     terms = ph.as_terms(items.select(F.col("term").alias("label"), "term"))
     return ph.term_counts(b.load(spark, sf, "documents"), ["doc_id"], "text", terms)
+
+
+# --- Published exports, mergeable counts, ends of runs --------------------------------------------
+
+
+@query("export_published", EXPORT_SQL, EXPORT_VIEWS)
+def export_published(spark, sf):
+    """Everything published, then one run in its place again; the second version has the same tables."""
+    root = scratch_path(spark, "published")
+    tables = b.job_tables(spark, sf)
+    given = {name: stored(tables[name].select(*schema.fieldNames()), name) for name, schema in TABLES.items()}
+    pb.publish(given, root)
+    pb.publish(given, root, "run_a")
+    pb.sweep(spark, root, keep=1)
+    counts = [
+        table.agg(F.count(F.lit(1)).alias("n"), F.sum(hash32(*EXPORTED[name][1])).alias("content"))
+        .select(F.lit(name).alias("table_name"), "n", "content")
+        for name, table in pb.read_published(spark, root).items()
+    ]
+    return dd.union_batches(*counts)
+
+
+@query("sketch_counts", """
+    SELECT scope, jobs, rows, true AS close FROM (
+        SELECT 'run ' || run_id AS scope, count(DISTINCT job_id) AS jobs, count(*) AS rows FROM v_listings GROUP BY run_id
+        UNION ALL SELECT 'place ' || coalesce(location, ''), count(DISTINCT job_id), count(*) FROM v_listings GROUP BY location
+        UNION ALL SELECT 'all', count(DISTINCT job_id), count(*) FROM v_listings)""", "v_listings")
+def sketch_counts(spark, sf):
+    """Distinct jobs per run, per place and in all from sketches of (run, place), beside the exact counts;
+    close: within 3 %."""
+    listings = b.v_listings(spark, sf)
+    kept = stored(sk.key_sketches(listings, "job_id", ["run_id", "location"]), "sketches")
+    scopes = {
+        "run_id": F.concat(F.lit("run "), "run_id"),
+        "location": F.concat(F.lit("place "), F.coalesce("location", F.lit(""))), None: F.lit("all"),
+    }
+    lines = []
+    for column, scope in scopes.items():
+        by = [column] if column else []
+        lines += [
+            sk.estimated(sk.merge_sketches(kept, by), "estimate").select(scope.alias("scope"), "rows", "estimate"),
+            listings.groupBy(*by).agg(F.count_distinct("job_id").alias("jobs")).select(scope.alias("scope"), "jobs"),
+        ]
+    both = dd.union_batches(*lines).groupBy("scope").agg(*[F.max(c).alias(c) for c in ("jobs", "rows", "estimate")])
+    near = F.abs(F.col("estimate") - F.col("jobs")) <= F.col("jobs") * 0.03
+    return both.select("scope", "jobs", "rows", near.alias("close"))
+
+
+@query("finish_runs", """
+    SELECT run_id, CASE run_id WHEN 'run_a' THEN 'complete' WHEN 'run_empty' THEN 'failed' ELSE 'running' END AS status,
+           CASE WHEN run_id <> 'run_b' THEN started_at + INTERVAL 1 DAY END AS ended_at
+    FROM v_runs""", "v_runs")
+def finish_runs(spark, sf):
+    """All runs end, one resumes and is still running, and a second end of a run that is over has no effect."""
+    runs = stored(b.v_runs(spark, sf), "runs")
+    status = F.when(F.col("run_id") == "run_empty", "failed").otherwise("complete")
+    over = runs.select(
+        "run_id", status.alias("status"), (F.col("started_at") + F.expr("INTERVAL 1 DAY")).alias("ended_at")
+    )
+    ended = up.finish_runs(runs, over)
+    again = up.run_guard(ended, ended.where("run_id = 'run_b'"))
+    resumed = up.resume_runs(ended, again)
+    late = over.where("run_id <> 'run_b'").withColumn("status", F.lit("late"))
+    return up.finish_runs(resumed, late).select("run_id", "status", "ended_at")

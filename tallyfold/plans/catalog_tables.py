@@ -232,9 +232,14 @@ EXPORTED = {
 }
 
 
-@query("export_run", " UNION ALL ".join(
+EXPORT_SQL = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS n, sum({hash32_sql(*columns)})::BIGINT AS content FROM {view}"
-    for name, (view, columns) in EXPORTED.items()), ("v_details", "v_issues"))
+    for name, (view, columns) in EXPORTED.items()
+)
+EXPORT_VIEWS = ("v_details", "v_issues")
+
+
+@query("export_run", EXPORT_SQL, EXPORT_VIEWS)
 def export_run(spark, sf):
     root = scratch_path(spark, "export")
     paths = wr.export_run(b.job_tables(spark, sf), root)
