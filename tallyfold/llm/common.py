@@ -7,6 +7,9 @@ operations over that array. A single longer text forms a slice of its own; texts
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -162,6 +165,26 @@ def record_batch(schema: pa.Schema, *arrays) -> pa.RecordBatch:
     )
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def hand_back() -> None:
+    """Give this process's free memory back. Workers stay for later tasks, and what one stage has freed
+    would otherwise still count against the executor while the next one runs."""
+    _powers.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def handing_back(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """`run`, after which the worker gives its free memory back."""
+    def wrapped(batches: Batches) -> Batches:
+        yield from run(batches)
+        hand_back()
+
+    return wrapped
 
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -15,25 +15,29 @@ numbered within (length, bucket).
 
 from __future__ import annotations
 
-import array
 import json
 import os
-import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import columns, in_slices, over_texts, record_batch, stored, to_python
+from tallyfold.llm.common import (
+    Words, columns, handing_back, in_slices, over_texts, record_batch, span_hashes, stored, to_python,
+)
 
 CAPACITY = 2048
 BUCKET_ROWS = 20_000
-CACHE_WORDS = 500_000
-FINAL_MARKS = re.compile(rb"(?<=[A-Za-z0-9])([.,;:!?]+)(?=[ \t\n\r\f\v]|\Z)")
+CACHE_WORDS = 1_000_000  # some 35 MB
+GROUP = 256
+FINAL_MARKS, LETTERS = np.zeros(256, bool), np.zeros(256, bool)
+FINAL_MARKS[list(b".,;:!?")] = True
+LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 PIECES = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"
 
 
@@ -44,13 +48,16 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Ids as 32-bit integers in (little-endian) bytes, remembered per chunk of a text.
+    """Ids of texts as arrays of 32-bit integers; words are tokenized once and remembered.
 
     For tokenizers that drop white space and never join across it, the ids of a text are those of
-    its white-space separated chunks in turn. Only the separators common to all such tokenizers (ASCII
+    its white-space separated words in turn. Only the separators common to all such tokenizers (ASCII
     white space) are split at here; whatever else is white space is left to the tokenizer. Where its
-    own description says so, chunks are brought into fewer forms first: its lower case applies to
-    ASCII letters, and a final run of punctuation after a letter or digit is a chunk of its own.
+    own description says so, words are brought into fewer forms first: its lower case applies to
+    ASCII letters, and a final run of punctuation after a letter or digit is a word of its own.
+    Words of a slice are told apart by a 64-bit hash, all at once; the distinct ones are looked up, new
+    ones are tokenized many at a time, and the ids are gathered by position. Bytes that are no valid
+    UTF-8 count as U+FFFD. Of more than CACHE_WORDS words, those seen longest ago are forgotten.
     """
 
     def __init__(self, path: str):
@@ -66,37 +73,126 @@ class Encoder:
             "[^\\s\\p{L}\\p{N}]+" in cut.get("pattern", {}).get("Regex", "")
             for cut in cuts.get("pretokenizers", [cuts])
         )
-        self.added = [t["content"].encode() for t in about["added_tokens"]]
-        # Two generations: what the current one has no room for is forgotten unless it comes again.
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def chunks(self, text: bytes) -> list[bytes]:
-        lowered = text.lower()
-        if any(t.lower() in lowered for t in self.added):  # found before anything else happens
-            return text.split()
-        if self.lowers:
-            text = lowered
-        if self.cuts_marks:
-            text = FINAL_MARKS.sub(rb" \1", text)
-        return text.split()
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        chunks = [self.chunks(t) for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known, self.older = {}, self.known
-        new = []
-        for c in set().union(*chunks) - self.known.keys():
-            if c in self.older:
-                self.known[c] = self.older[c]
-            else:
-                new.append(c)
-        coded = self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-        self.known.update(
-            (c, array.array("I", e.ids).tobytes()) for c, e in zip(new, coded, strict=True)
+        self.added = [t["content"].lower().encode() for t in about["added_tokens"]]
+        # A word that becomes one id, which nothing else becomes: it stands between words tokenized at once.
+        coded = ((mark, self._ids(f"a {mark} b"), self._ids(mark)) for mark in "|~^")
+        self.mark, self.mark_id = next(
+            ((mark, own[0]) for mark, among, own in coded if len(own) == 1 and among.count(own[0]) == 1),
+            (None, None),
         )
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in chunks]
+        # Words by sorted hash: where their ids begin in one array, how many, and the last slice with them.
+        self.keys = np.zeros(0, np.uint64)
+        self.begin, self.size, self.seen = (np.zeros(0, np.uint32) for _ in range(3))
+        self.ids, self.used, self.slices = np.zeros(1 << 12, "<u4"), 0, 0
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def tokenize(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word in little-endian bytes."""
+        texts = [w.decode(errors="replace") for w in words]
+        out = [b""] * len(texts)
+        alone = [i for i, t in enumerate(texts) if self.mark is None or self.mark in t]
+        apart = set(alone)
+        rest = [i for i in range(len(texts)) if i not in apart]
+        groups = [rest[k : k + GROUP] for k in range(0, len(rest), GROUP)]
+        between = f" {self.mark} "
+        lines = [between.join(texts[i] for i in group) for group in groups]
+        for group, line in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
+            ids = np.array(line.ids, "<u4")
+            marks = np.flatnonzero(ids == self.mark_id)
+            if len(marks) != len(group) - 1:
+                alone += group
+                continue
+            coded, begin = ids.tobytes(), 0
+            for i, at in zip(group, [*marks.tolist(), len(ids)]):
+                out[i] = coded[4 * begin : 4 * at]
+                begin = at + 1
+        single = self.tokenizer.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False)
+        for i, line in zip(alone, single):
+            out[i] = np.array(line.ids, "<u4").tobytes()
+        return out
+
+    def look_up(self, keys: np.ndarray, words: Callable[[np.ndarray], list[bytes]]) -> np.ndarray:
+        """Places of sorted hashes among the known ones; `words` gives the bytes of those that are new."""
+        self.slices += 1
+        at = np.searchsorted(self.keys, keys)
+        hit = np.zeros(len(keys), bool)
+        if len(self.keys):
+            hit = self.keys[np.minimum(at, len(self.keys) - 1)] == keys
+        self.seen[at[hit]] = self.slices
+        new = np.flatnonzero(~hit)
+        if len(new):
+            self.forget(len(new))
+            coded = self.tokenize(words(new))
+            size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+            ids = np.frombuffer(b"".join(coded), "<u4")
+            while self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+            self.ids[self.used : self.used + len(ids)] = ids
+            begin = self.used + np.cumsum(size) - size
+            self.used += len(ids)
+            at = np.searchsorted(self.keys, keys[new])
+            self.keys = np.insert(self.keys, at, keys[new])
+            self.begin = np.insert(self.begin, at, begin.astype(np.uint32))
+            self.size = np.insert(self.size, at, size.astype(np.uint32))
+            self.seen = np.insert(self.seen, at, np.uint32(self.slices))
+            at = np.searchsorted(self.keys, keys)
+        return at
+
+    def forget(self, more: int) -> None:
+        """Keep the half that was seen last, if there is no room for so many more, and this slice's words."""
+        if len(self.keys) + more <= CACHE_WORDS:
+            return
+        kept = max(CACHE_WORDS // 2, int((self.seen == self.slices).sum()))
+        keep = np.sort(np.argsort(self.seen, kind="stable")[-kept:])
+        size = self.size[keep].astype(np.int64)
+        until = np.cumsum(size)
+        where = np.repeat(self.begin[keep].astype(np.int64) - (until - size), size)
+        ids = self.ids[where + np.arange(len(where))]
+        self.keys, self.size, self.seen = self.keys[keep], self.size[keep], self.seen[keep]
+        self.begin, self.used = (until - size).astype(np.uint32), len(ids)
+        self.ids = np.concatenate((ids, np.zeros(1 << 12, "<u4")))
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text."""
+        special = set()
+        if any(a in x for x in (b"\n".join(texts).lower(),) for a in self.added):
+            special = {i for i, t in enumerate(texts) if any(a in t.lower() for a in self.added)}
+        w = Words([b"" if i in special else t for i, t in enumerate(texts)], lower=self.lowers)
+        start, end = w.start, w.end
+        if self.cuts_marks:
+            start, end = cut_marks(w.data, start, end)
+        keys, at, back = np.unique(span_hashes(w.data, start, end), return_index=True, return_inverse=True)
+        place = self.look_up(
+            keys, lambda new: [w.data[a:b].tobytes() for a, b in zip(start[at[new]], end[at[new]])]
+        )[back]
+        each = self.size[place].astype(np.int64)
+        until = np.concatenate(([0], np.cumsum(each)))
+        where = np.repeat(self.begin[place] - until[:-1], each)
+        ids = self.ids[where + np.arange(until[-1])]
+        bounds = until[np.searchsorted(start, w.bounds)]
+        out = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        for i in special:  # an added token is found before anything else happens
+            out[i] = np.array(self._ids(texts[i].decode(errors="replace")), "<u4")
+        return out
+
+
+def cut_marks(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words with a final run of punctuation behind an ASCII letter or digit become two."""
+    cut, some = end.copy(), np.arange(len(end))
+    while len(some):
+        some = some[(cut[some] > start[some]) & FINAL_MARKS[data[cut[some] - 1]]]
+        cut[some] -= 1
+    two = np.flatnonzero((cut < end) & (cut > start))
+    two = two[LETTERS[data[cut[two] - 1]]]
+    return np.sort(np.concatenate((start, cut[two]))), np.sort(np.concatenate((end, cut[two])))
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> Encoder:
+    """Kept from task to task, with the words it knows."""
+    return Encoder(path)
 
 
 def pieces(
@@ -109,27 +205,27 @@ def pieces(
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = worker_encoder(path)
         for batch in in_slices(batches):
             ids, texts = columns(batch, "doc_id", "text")
             for lo, hi, part in over_texts(texts):
                 at, no, start, size, crc = [], [], [], [], []
                 for i, coded in enumerate(encoder.encode(part), lo):
-                    coded += end
-                    for k, a in enumerate(range(0, len(coded), 4 * capacity)):
-                        cut = coded[a : a + 4 * capacity]
+                    for k, a in enumerate(range(0, len(coded) + 1, capacity)):
+                        cut = coded[a : a + capacity]
+                        last = a + capacity > len(coded)
                         at.append(i)
                         no.append(k)
-                        start.append(a // 4)
-                        size.append(len(cut) // 4)
-                        crc.append(zlib.crc32(cut))
+                        start.append(a)
+                        size.append(len(cut) + last)
+                        crc.append(zlib.crc32(end, zlib.crc32(cut)) if last else zlib.crc32(cut))
                 schema = pa.schema([
                     ("doc_id", ids.type), ("piece", pa.int32()), ("start", pa.int64()),
                     ("length", pa.int64()), ("ids_crc32", pa.int64()),
                 ])
                 yield record_batch(schema, ids.take(pa.array(at, pa.int64())), no, start, size, crc)
 
-    return to_python(docs).select("doc_id", "text").mapInArrow(run, PIECES.format(kind=kind))
+    return to_python(docs).select("doc_id", "text").mapInArrow(handing_back(run), PIECES.format(kind=kind))
 
 
 Filling = tuple[tuple[int, int], ...]  # (length, how many), largest first

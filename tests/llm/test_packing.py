@@ -16,11 +16,34 @@ PARTS = ["a", "B", "'s", "don't", "It's,", "x.", "é", "ß", "İ", "́", " ", "
 @given(st.lists(st.sampled_from(PARTS), max_size=25).map("".join))
 def test_chunks_encode_like_whole_texts(text):
     encoder = ENCODER
-    assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == encoder.tokenizer.encode(
+    assert encoder.encode([text.encode()])[0].tolist() == encoder.tokenizer.encode(
         text, add_special_tokens=False
     ).ids
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*PARTS, "|", "a|", "~"]), max_size=9).map("".join), max_size=6))
+def test_slices_encode_like_whole_texts(texts):
+    got = ENCODER.encode([t.encode() for t in texts])
+    assert [g.tolist() for g in got] == [ENCODER.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_forgotten_words_are_tokenized_again(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 100)
+    encoder = packing.Encoder(packing.default_tokenizer())
+    for k in range(20):
+        texts = [f"word{i} x{i * k} |{i} é{k}" for i in range(40)]
+        want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [g.tolist() for g in encoder.encode([t.encode() for t in texts])] == want
+        assert len(encoder.keys) <= 50 + 41 * 4 and encoder.used <= len(encoder.ids) < 20_000
+
+
+def test_invalid_bytes_are_replacement_characters():
+    got = ENCODER.encode([b"a \xff\xfeb c", b"fine"])
+    assert got[0].tolist() == ENCODER.tokenizer.encode("a \ufffd\ufffdb c", add_special_tokens=False).ids
+    assert got[1].tolist() == ENCODER.tokenizer.encode("fine", add_special_tokens=False).ids
+
+
 ENCODER = packing.Encoder(packing.default_tokenizer())
 
 
