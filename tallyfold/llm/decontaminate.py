@@ -5,7 +5,9 @@ items and documents are hashed at every position, hashes are joined, and every h
 (position in the document minus position in the item). Along it, words are compared: an item is found
 where 13 words in a row hold at least 11 equal ones. The two masks below have, between them, a window
 free of any two substitutions in 13 words, so no such place is missed. Items of 7 to 12 words must
-occur whole; shorter ones are no evidence and are not searched.
+occur whole, and so must shorter ones, which are too short for the masks: there the seed is the hash of
+the whole item, for each length that the test set has, and documents are hashed at that length as well.
+A short item is found like any other but little evidence; removal leaves it out unless told otherwise.
 
 Words are runs of ASCII letters, digits and characters beyond ASCII, in lower case.
 """
@@ -65,6 +67,36 @@ def key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
 
 
+def short_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """key, item_id, size, pos: where an item of fewer than SHORTEST words begins for the first time.
+
+    `items` has item_id and item (words). A document is hashed once for each length that occurs. Hits
+    are reduced to the first one map-side, so a common word costs a row per document and task.
+    """
+    lengths = sorted(r[0] for r in items.select(F.size("item")).distinct().collect())  # 6 at most
+    whole = items.select(
+        "item_id", F.size("item").alias("size"),
+        F.xxhash64(F.array_join("item", " ")).alias("seed"),
+    )
+
+    def runs(words: Column, size: int) -> Column:
+        n = F.size(words) - (size - 1)
+        at = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.struct(
+            F.lit(size).alias("size"), i.alias("pos"),
+            F.xxhash64(F.array_join(F.slice(words, i + 1, size), " ")).alias("seed"),
+        ))
+
+    if not lengths:
+        return whole.select(F.lit(0).cast("long").alias("key"), "item_id", "size", F.lit(0).alias("pos")).limit(0)
+    places = let(words_of(F.col("text")), lambda w: F.concat(*[runs(w, n) for n in lengths]))
+    rows = docs.select("key", F.inline(places))
+    first = rows.join(small(stored(whole, "short-items")), ["size", "seed"]).groupBy("key", "item_id").agg(
+        F.min("pos").alias("pos"), F.max("size").alias("size")
+    )
+    return first.select("key", "item_id", "size", "pos")
+
+
 def best_window(words: Column, item: Column, shift: Column) -> Column:
     """struct(equal, start): most equal words of a window along the diagonal and where it begins in
     the document; null where no window fits."""
@@ -88,20 +120,24 @@ def best_window(words: Column, item: Column, shift: Column) -> Column:
     return F.when(hi - lo >= size, best)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = 1) -> DataFrame:
     """doc_id, item_id, equal_words, window_words, start_word: for every item found in a document the
     window with the most equal words, the first one of equals.
 
-    Null or empty texts hold nothing. A benchmark item without id is ignored; one repeated is
-    reported once. Documents without id are one document. Other columns are ignored.
+    Items of fewer than `shortest` words are left out. Null or empty texts hold nothing, and nothing
+    holds a null or empty item. A benchmark item without id is ignored; one repeated is reported once.
+    Documents without id are one document. Other columns are ignored.
     """
     ident = docs.schema["doc_id"].dataType
     docs = docs.select(key().alias("key"), "text")
     items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", "text").distinct()
-    item_words = stored(
-        items.select("item_id", words_of(F.col("text")).alias("item")).where(F.size("item") >= SHORTEST),
+    words = stored(
+        items.select("item_id", words_of(F.col("text")).alias("item")).where(
+            F.size("item") >= max(1, shortest)
+        ),
         "items",
     )
+    item_words = words.where(F.size("item") >= SHORTEST)
     wanted = stored(
         seeds(items, "item_id").select("item_id", "seed", F.col("pos").alias("item_pos")).distinct(), "seeds"
     )
@@ -112,28 +148,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     best = let(words_of(F.col("text")), lambda w: best_window(w, F.col("item"), F.col("shift")))
     size = F.least(F.lit(WINDOW), F.size("item"))
     need = F.when(F.size("item") >= WINDOW, F.lit(MIN_EQUAL)).otherwise(F.size("item"))
-    return (
+    long = (
         found.select("key", "item_id", best.alias("best"), size.alias("size"), need.alias("need"))
         .where(F.col("best.equal") >= F.col("need"))
         .groupBy("key", "item_id")
         .agg(F.max("best").alias("best"), F.max("size").alias("size"))
-        .select(
-            F.when(F.col("key") != -(2**63), F.col("key")).cast(ident).alias("doc_id"),
-            "item_id",
-            F.col("best.equal").cast("long").alias("equal_words"),
-            F.col("size").cast("long").alias("window_words"),
-            (-F.col("best.minus_start")).cast("long").alias("start_word"),
-        )
+        .select("key", "item_id", F.col("best.equal").alias("equal"), "size", (-F.col("best.minus_start")).alias("pos"))
     )
+    if shortest < SHORTEST:
+        short = short_hits(docs, words.where(F.size("item") < SHORTEST))
+        long = long.unionByName(short.withColumn("equal", F.col("size")))
+    return long.select(
+        F.when(F.col("key") != -(2**63), F.col("key")).cast(ident).alias("doc_id"),
+        "item_id",
+        F.col("equal").cast("long").alias("equal_words"),
+        F.col("size").cast("long").alias("window_words"),
+        F.col("pos").cast("long").alias("start_word"),
+    )
+
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
+    """The documents in which no item of `shortest` words or more is found; columns as they are.
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no item is found; columns as they are."""
+    Null and empty texts stay, repeated rows are judged alike; documents without id are one document and
+    stay or go together.
+    """
     name = "key"
     while name in docs.columns:
         name += "_"
-    bad = stored(contaminated(docs, benchmark).select(key().alias(name)).distinct(), "contaminated")
-    return docs.withColumn(name, key()).join(small(bad), name, "left_anti").select(docs.columns)
+    bad = contaminated(docs, benchmark, shortest).select(key().alias(name)).distinct()
+    return docs.withColumn(name, key()).join(small(stored(bad, "contaminated")), name, "left_anti").select(docs.columns)
 
 
 def oracle() -> str:
@@ -173,4 +217,10 @@ def oracle() -> str:
     )
     SELECT doc_id, item_id, equal_words::BIGINT AS equal_words, size::BIGINT AS window_words, start_word::BIGINT AS start_word
     FROM ranked WHERE k = 1
+    UNION ALL
+    SELECT d.id, i.id, len(i.words), len(i.words), min(d.p - 1)
+    FROM (SELECT id, words, unnest(range(1, len(words) + 1)) AS p FROM dw) d
+    JOIN (SELECT * FROM iw WHERE len(words) BETWEEN 1 AND {SHORTEST - 1}) i ON d.words[d.p] = i.words[1]
+    WHERE d.words[d.p:d.p + len(i.words) - 1] = i.words
+    GROUP BY d.id, i.id, i.words
     """

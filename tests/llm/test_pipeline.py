@@ -25,7 +25,7 @@ def test_every_stage_takes_effect(spark, sf_dir):
     words = spark.createDataFrame(list(single.items()), "doc_id long, text string")
     split = lambda df, k: [(r[0], r[1]) for r in df.select(k, decontaminate.words_of(df.text)).collect()]
     items = split(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "item_id")
-    bad = found_items([d for d in split(words, "doc_id") if len(d[1]) < 400], items)
+    bad = found_items([d for d in split(words, "doc_id") if len(d[1]) < 400], items, 7)
     assert not {d for d, _ in bad} & set(fresh) and len(fresh) > 0.8 * len(single)
     found = secrets.automaton()
     assert last == {i: secrets.redacted(t, found, "[SECRET]") for i, t in fresh.items()}
