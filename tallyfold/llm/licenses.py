@@ -4,13 +4,14 @@ All word k-grams of all texts are hashed; those whose hash some template has are
 position and words, and Spark joins them to the template positions. Every pair votes for the diagonal
 (position in the text minus position in the template). Phrases need every vote of one diagonal, which
 is an occurrence of the phrase. For longer notices neighbouring diagonals are merged, so that words
-inserted or left out do not break a span, and a span counts if its votes, verified word by word in
-the join, cover enough of the template.
+inserted or left out do not break a span; all diagonals of a span lie close together, so it is hardly
+longer than its template and its words come in the same order. A span counts if its votes, verified
+word by word in the join, cover enough of the template.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +19,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import (
-    MARKS, Words, columns, in_slices, inside, over_texts, record_batch, stored, window_hashes, to_python,
+    MARKS, Words, columns, in_slices, inside, over_texts, record_batch, small, stored, to_python, window_hashes,
 )
 
 K = 3
 MAX_SHIFT = 6  # words by which neighbouring diagonals may differ
+MAX_DRIFT = 12  # words by which any two diagonals of a span may differ
 MIN_COVERAGE = 0.6
 
 # Phrases, and notices of public licenses as words.
@@ -51,10 +53,10 @@ def hashed(text: str) -> np.ndarray:
     return window_hashes(Words([text.encode()], blank=MARKS).hashes(), K).view(np.int64)
 
 
-def template_rows() -> list[tuple]:
+def template_rows(notices: Mapping[str, str] = NOTICES) -> list[tuple]:
     """(hash, words, template, label, exact, grams in the template, position)."""
     out = []
-    for exact, texts in ((True, list(PHRASES.items())), (False, [(t, n) for n, t in NOTICES.items()])):
+    for exact, texts in ((True, list(PHRASES.items())), (False, [(t.lower(), n) for n, t in notices.items()])):
         for text, label in texts:
             words, hashes = text.split(), hashed(text).tolist()
             name = text if exact else f"notice {label}"
@@ -63,10 +65,10 @@ def template_rows() -> list[tuple]:
     return out
 
 
-def gram_hits(docs: DataFrame) -> DataFrame:
+def gram_hits(docs: DataFrame, notices: Mapping[str, str] = NOTICES) -> DataFrame:
     """row, doc_id, n_words, hits: array of (pos, hash, words) of the k-grams that templates have."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    wanted = np.unique(np.array([r[0] for r in template_rows()], np.int64)).view(np.uint64)
+    wanted = np.unique(np.array([r[0] for r in template_rows(notices)], np.int64)).view(np.uint64)
     low = np.zeros(1 << 16, bool)  # most hashes are ruled out by their last 16 bits
     low[(wanted & np.uint64(0xFFFF)).astype(np.int64)] = True
     hit_type = pa.list_(pa.struct([("pos", pa.int64()), ("hash", pa.int64()), ("words", pa.string())]))
@@ -93,44 +95,54 @@ def gram_hits(docs: DataFrame) -> DataFrame:
     )
 
 
-def templates(spark: SparkSession) -> DataFrame:
+def templates(spark: SparkSession, notices: Mapping[str, str] = NOTICES) -> DataFrame:
     return spark.createDataFrame(
-        template_rows(),
+        template_rows(notices),
         "hash long, words string, template string, label string, exact boolean, grams int, at int",
     )
 
 
-def found_spans(hits: DataFrame) -> DataFrame:
+def found_spans(hits: DataFrame, notices: Mapping[str, str] = NOTICES) -> DataFrame:
     """row, template, label, exact, start, coverage of every verified span."""
     votes = (
         hits.select("row", F.inline("hits"))
-        .join(F.broadcast(templates(hits.sparkSession)), ["hash", "words"])  # a fixed, small table
+        .join(small(templates(hits.sparkSession, notices)), ["hash", "words"])
         .groupBy("row", "template", "label", "exact", "grams", (F.col("pos") - F.col("at")).alias("diagonal"))
         .agg(F.count("*").alias("votes"), F.min("pos").alias("start"), F.collect_set("at").alias("ats"))
     )
     phrases = votes.where(F.col("exact") & (F.col("votes") == F.col("grams")))
     near = Window.partitionBy("row", "template").orderBy("diagonal")
     far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(near), F.lit(0)) > MAX_SHIFT
-    notices = (
+    span = Window.partitionBy("row", "template", "group").orderBy("diagonal").rangeBetween(0, MAX_DRIFT)
+    chained = (
         votes.where(~F.col("exact"))
         .withColumn("far", far.cast("int"))
         .withColumn("group", F.sum("far").over(near))
-        .groupBy("row", "template", "label", "exact", "grams", "group")
-        .agg(F.min("start").alias("start"), F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("votes"))
+        .withColumns({
+            "votes": F.size(F.array_distinct(F.flatten(F.collect_list("ats").over(span)))),
+            "start": F.min("start").over(span),
+        })
+    )
+    # Of the spans that begin in one chain of diagonals, the one with most of the template, then the first.
+    best = F.max(F.struct("votes", (-F.col("start")).alias("minus_start")))
+    found = (
+        chained.groupBy("row", "template", "label", "exact", "grams", "group").agg(best.alias("best"))
+        .select("row", "template", "label", "exact", "grams", "best.votes", (-F.col("best.minus_start")).alias("start"))
         .where(F.col("votes") >= F.lit(MIN_COVERAGE) * F.col("grams"))
     )
     kept = ["row", "template", "label", "exact", "start", (F.col("votes") / F.col("grams")).alias("coverage")]
-    return phrases.select(*kept).unionByName(notices.select(*kept))
+    return phrases.select(*kept).unionByName(found.select(*kept))
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, notices: Mapping[str, str] = NOTICES) -> DataFrame:
     """One row per document: n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    score: the largest coverage of a span, 0 without one. Null and empty texts have no words.
+    `notices` gives the text of each label beside the phrases, three words or more in ASCII letters,
+    digits and spaces. score: the largest coverage of a span, 0 without one. Null and empty texts have no words.
     Repeated rows are scanned each; other columns are ignored.
     """
-    hits = stored(gram_hits(docs), "license-grams")
-    spans = found_spans(hits.where(F.size("hits") > 0))
+    hits = stored(gram_hits(docs, notices), "license-grams")
+    spans = found_spans(hits.where(F.size("hits") > 0), notices)
     base = F.col("exact")
     names = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     by_row = spans.groupBy("row").agg(

@@ -43,6 +43,23 @@ def test_notices_with_inserted_and_missing_words(spark):
     assert found[2].labels == "" and found[2].score == 0
 
 
+def test_words_scattered_over_the_text_are_no_notice(spark):
+    """Every 3-gram of the notice in order, each with a filler word behind it: the diagonals drift away."""
+    words = licenses.NOTICES["bsd"].split()
+    grams = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)]
+    some = " ".join(words[:8]) + " oh well " + " ".join(words[8:])
+    df = spark.createDataFrame([(1, " filler ".join(grams)), (2, some + " and " + " ".join(words))], "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert found[1].labels == "" and found[1].score == 0
+    assert found[2].labels == "bsd" and found[2].score == 1
+
+
+def test_own_notices(spark):
+    own = {"mine": "You may COPY this text as you please but never sell it", "mit": licenses.NOTICES["mit"]}
+    df = spark.createDataFrame([(1, "a. you may copy this text, as you please but NEVER sell it"), (2, licenses.NOTICES["bsd"])], "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in licenses.scan(df, own).collect()} == {1: "mine", 2: ""}
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = licenses.scan(odd_docs).collect()
     assert len(rows) == odd_docs.count() and {r.labels for r in rows} == {""}
