@@ -1,5 +1,7 @@
 """Held-out accuracy and odd rows of the trained classifiers."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -14,6 +16,96 @@ def wide(spark, sf_dir):
     return tuple(spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
 
 
+def auc(good, bad):
+    a, b = np.array(good)[:, None], np.array(bad)[None]
+    return float(np.mean((a > b) + 0.5 * (a == b)))
+
+
+def test_word_order_decides():
+    """Both classes have the same words; only a filter that was trained tells which of two comes first."""
+    def texts(n, seed):
+        r, out = random.Random(seed), []
+        for i in range(n):
+            words = r.choices([f"word{k}" for k in range(200)], k=r.randint(10, 40))
+            at = r.randrange(len(words) + 1)
+            words[at:at] = ["red", "stone"] if i % 2 else ["stone", "red"]
+            out.append(" ".join(words).encode())
+        return out, np.arange(n) % 2
+
+    (own, label), (others, truth) = texts(1200, 1), texts(400, 2)
+
+    def quality(epochs):
+        model = toxicity.train(own, label, np.ones(len(own)), epochs=epochs)
+        score, _ = toxicity.scores(others, model, toxicity.language_table())
+        return np.mean((score >= 0.5) == (truth == 1)), auc(score[truth == 1], score[truth == 0])
+
+    right, ranked = quality(4)
+    assert right > 0.9 and ranked > 0.95
+    start, unranked = quality(0)
+    assert start < 0.6 and unranked < 0.6
+
+
+def test_one_passage_decides():
+    """Bad texts have one bad passage among many, and attention must find it."""
+    def texts(n, seed):
+        r, out, where = random.Random(seed), [], []
+        for i in range(n):
+            passages_ = [
+                ["".join(r.choices("abcdefghijklmnop", k=r.randint(2, 9))) for _ in range(passages.PASSAGE)]
+                for _ in range(r.randint(8, 30))
+            ]
+            bad = r.randrange(len(passages_))
+            if i % 2 == 0:
+                passages_[bad] = [w if r.random() < 0.5 else "$#%&" for w in passages_[bad]]
+            out.append(" ".join(" ".join(p) for p in passages_).encode())
+            where.append(bad)
+        return out, np.arange(n) % 2, where
+
+    own, label, _ = texts(300, 1)
+    others, truth, where = texts(120, 2)
+    model = passages.train(own, label, np.ones(len(own)))
+
+    def right(m):
+        return np.mean((passages.bag_logits(others, m) >= 0) == (truth == 1))
+
+    assert right(model) > 0.95
+    assert right(model | {"attention": 0 * model["attention"]}) < 0.7  # every passage alike
+    x, first = passages.passage_features(others)
+    a = passages.attend(np.clip((x - model["mean"]) / model["scale"], -8, 8), first, model)["a"]
+    times = [a[first[i] + where[i]] * (first[i + 1] - first[i]) for i in range(len(others)) if truth[i] == 0]
+    assert np.median(times) > 5  # of an equal share
+
+
+def test_scores_are_those_of_a_plain_evaluation():
+    """Both models, text by text and word by word."""
+    r = random.Random(8)
+    texts = [" ".join(r.choices(["the", "red", "Stone!", "a", "de", "é", "$#", "x"], k=k)).encode() for k in (0, 1, 2, 3, 40, 70, 150)]
+    label = np.arange(len(texts)) % 2
+    m = toxicity.train(texts * 9, np.tile(label, 9), np.ones(63), epochs=1)
+    got, _ = toxicity.scores(texts, m, toxicity.language_table())
+    for text, score in zip(texts, got):
+        w = toxicity.Words([text], blank=toxicity.MARKS)
+        x = toxicity.embed(toxicity.word_codes(w), m["table"]).astype(float)
+        pooled = []
+        for width in toxicity.NARROW:
+            z = [sum(x[i + j] @ m[f"w{width}"][j] for j in range(width) if i + j < len(x)) for i in range(len(x))]
+            pooled += list(np.maximum(np.max(z, axis=0), 0)) if len(x) else [0.0] * toxicity.FILTERS
+        for width in toxicity.WIDE:
+            z = [x[i : i + width].sum(axis=0) / width @ m[f"w{width}"][0] for i in range(len(x))]
+            pooled += list(np.maximum(np.max(z, axis=0), 0)) if len(x) else [0.0] * toxicity.FILTERS
+        language = toxicity.languages(w, toxicity.language_table())[0]
+        logit = m["slope"] * (np.array(pooled) @ m["dense"] + m["bias"]) + m["by_language"][language]
+        assert abs(score - sigmoid(np.array([logit]))[0]) < 1e-6
+    q = passages.train(texts * 9, np.tile(label, 9), np.ones(63), steps=20)
+    for text, logit in zip(texts, passages.bag_logits(texts, q)):
+        x, _ = passages.passage_features([text])
+        h = [np.tanh(np.clip((v - q["mean"]) / q["scale"], -8, 8) @ q["encode"] + q["encode_bias"]) for v in x]
+        raw = [(np.tanh(v @ q["content"]) * sigmoid(v @ q["gate"])) @ q["attention"] for v in h]
+        a = np.exp(np.array(raw) - max(raw))
+        z = sum(share * v for share, v in zip(a / a.sum(), h))
+        assert abs(logit - (z @ q["dense"] + q["bias"])) < 1e-9
+
+
 @pytest.mark.parametrize("module, make, score, label, modulus, held, limit, least", [
     (passages, "quality_model", "quality", "quality", 4, 2, 0.7, 0.95),
     (toxicity, "toxicity_model", "toxicity", "toxic", 5, 0, 0.5, 0.9),
@@ -25,6 +117,10 @@ def test_held_out_accuracy(wide, module, make, score, label, modulus, held, limi
     rows = getattr(module, score)(docs, model).join(labels.where(away), "doc_id").collect()
     right = np.mean([(r.score >= limit) == (r[label] == 1) for r in rows])
     assert len(rows) > 50 and right >= least
+    # By class, as one of them holds nine rows in ten.
+    good, bad = ([r.score for r in rows if r[label] == k] for k in (1, 0))
+    assert auc(good, bad) >= 0.8
+    assert np.mean([x >= limit for x in good]) >= 0.5 and np.mean([x < limit for x in bad]) >= 0.9
     assert all(0 <= r.score <= 1 for r in rows)
 
 
