@@ -503,3 +503,20 @@ def first_sight(spark, sf):
             stream, f"{root}/target", f"{root}/checkpoint", ["user_id"], ["event_id"], SMALL
         ).awaitTermination()
     return st.read_current(spark, f"{root}/target").select(events.columns)
+
+
+@query("first_seen_stream", """
+    SELECT user_id, event_id, event_type, ts::TIMESTAMP AS ts FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+        FROM events) WHERE rn = 1""")
+def first_seen_stream(spark, sf):
+    """Events arrive in three batches, each over the whole period; earlier rows correct what was seen."""
+    events = b.load(spark, sf, "events").select("user_id", "event_id", "event_type", "ts")
+    root = scratch_path(spark, "first_seen")
+    for _ in arrivals(events, "event_id", f"{root}/in"):
+        stream = st.stream_files(spark, f"{root}/in", events.schema)
+        st.first_seen_table(
+            stream, f"{root}/target", f"{root}/checkpoint", ["user_id"], "ts", "event_id", "90 days", "1 days", SMALL
+        ).awaitTermination()
+    found = st.read_current(spark, f"{root}/target")
+    return found.select("user_id", "event_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))

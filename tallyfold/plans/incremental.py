@@ -35,16 +35,19 @@ class JobStore:
         self.listings = self._table("listing_snapshots", LISTING_SNAPSHOTS, [*JOB, "snapshot_id"], JOB)
         self.details = self._table("job_details", JOB_DETAILS, JOB)
         self.searches = self._table("search_queries", SEARCH_QUERIES, ["query_id"])
-        self.jobs = self._table("canonical_jobs", self._job_schema(), JOB)
-
-    def _table(self, name: str, schema: T.StructType, keys: list[str], by: list[str] | None = None):
-        return BucketedTable.open(
-            self.spark, f"{self.root}/{name}", schema, keys, by=by or keys, buckets=self.buckets
-        )
-
-    def _job_schema(self) -> T.StructType:
-        none = lambda schema: self.spark.createDataFrame([], schema)
-        return self._recomputed(none(LISTING_SNAPSHOTS), none(JOB_DETAILS), none(SEARCH_QUERIES)).schema
+        self.jobs = self._table("canonical_jobs", None, JOB)
+
+    def _table(
+        self, name: str, schema: T.StructType | None, keys: list[str], by: list[str] | None = None
+    ) -> BucketedTable:
+        """The table as stored, or a new one; no schema stands for that of the canonical rows."""
+        path = f"{self.root}/{name}"
+        if Versions(self.spark, path).numbers():
+            return BucketedTable(self.spark, path)
+        if schema is None:
+            none = [self.spark.createDataFrame([], s) for s in (LISTING_SNAPSHOTS, JOB_DETAILS, SEARCH_QUERIES)]
+            schema = self._recomputed(*none).schema
+        return BucketedTable.create(self.spark, path, schema, keys, by or keys, self.buckets)
 
     @staticmethod
     def _recomputed(listings: DataFrame, details: DataFrame, searches: DataFrame) -> DataFrame:

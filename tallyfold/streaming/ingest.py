@@ -7,12 +7,14 @@ A replayed batch is known by its number and changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyfold.sources.bucketed import BUCKETS, BucketedTable
 
@@ -107,3 +109,71 @@ def stream_dedupe(
     """
     timed = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def first_seen(
+    stream: DataFrame, keys: Sequence[str], event_time: str, tie: str, delay: str, keep: str
+) -> DataFrame:
+    """The earliest row of each key so far, again whenever a late row turns out to be earlier.
+
+    State is one (time, tie) pair per key, forgotten `keep` after the key's last row has passed the
+    watermark, which trails by `delay`; a key that comes back after that is new. Written in update mode, a row
+    replaces the one emitted before: `first_seen_table` does so. Rows without a time are left out.
+    """
+    schema = stream.schema
+    names, pair = schema.fieldNames(), [event_time, tie]
+    instants = [f.name for f in schema if f.dataType in (T.TimestampType(), T.TimestampNTZType())]
+    lasting = pd.Timedelta(keep)
+    # Watermarks and state need instants, so zone-less times are read in the session zone.
+    timed = stream.where(F.col(event_time).isNotNull()).withColumns({
+        c: F.col(c).cast("timestamp") for c in instants
+    }).withWatermark(event_time, delay)
+    out = T.StructType([timed.schema[c] for c in names])
+    kept = T.StructType([out[c] for c in pair])
+
+    def earliest(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best, last = None, None
+        for frame in frames:
+            if len(frame):
+                first = frame.sort_values(pair).iloc[:1]
+                if best is None or tuple(first[pair].iloc[0]) < tuple(best[pair].iloc[0]):
+                    best = first
+                top = frame[event_time].max()
+                last = top if last is None or top > last else last
+        if best is None:
+            return
+        until = int((last + lasting).timestamp() * 1000)
+        found = tuple(best[pair].iloc[0])
+        if not state.exists or found < tuple(state.get):
+            state.update(found)
+            yield best[names]
+        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+
+    return timed.groupBy(*keys).applyInPandasWithState(
+        earliest, out, kept, "update", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+def first_seen_table(
+    stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], event_time: str, tie: str,
+    delay: str, keep: str, buckets: int = BUCKETS,
+) -> StreamingQuery:
+    """Keeps the table at `target` at the earliest row of each key, corrections included."""
+    rows = first_seen(stream, keys, event_time, tie, delay, keep)
+    spark = rows.sparkSession
+    BucketedTable.open(spark, target, rows.schema, keys, buckets=buckets)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        table = BucketedTable(spark, target)
+        table.upsert(batch, [F.asc(event_time), F.asc(tie)], batch_id, query)
+
+    return (
+        rows.writeStream.outputMode("update").foreachBatch(sink)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -40,19 +40,19 @@ def parts(tables, n=3):
 
 
 def test_three_batches_equal_one_run(spark, tables, tmp_path):
-    store = JobStore(spark, str(tmp_path / "s"), buckets=4)
+    store = JobStore(spark, str(tmp_path / "s"), buckets=2)
     for number, batch in enumerate(parts(tables)):
         assert store.apply(batch, number) > 0
     want = rows(full(tables))
     assert rows(store.jobs.current()) == want
     version = store.jobs.version
-    assert store.apply(batch, number) == 0 and JobStore(spark, store.root, 4).jobs.version == version
+    assert store.apply(batch, number) == 0 and JobStore(spark, store.root, 2).jobs.version == version
     store.sweep()
-    assert rows(JobStore(spark, store.root, 4).jobs.current()) == want
+    assert rows(JobStore(spark, store.root, 2).jobs.current()) == want
 
 
 def test_a_small_batch_computes_its_jobs_only(spark, tables, tmp_path):
-    store = JobStore(spark, str(tmp_path / "s"), buckets=4)
+    store = JobStore(spark, str(tmp_path / "s"), buckets=2)
     store.apply(tables, 0)
     job = tables["listing_snapshots"].select("run_id", "job_id").orderBy("run_id", "job_id").limit(1)
     better = tables["listing_snapshots"].join(job, ["run_id", "job_id"], "left_semi").limit(1).withColumns({
@@ -66,7 +66,7 @@ def test_a_small_batch_computes_its_jobs_only(spark, tables, tmp_path):
 
 
 def test_a_changed_search_touches_what_it_found(spark, tables, tmp_path):
-    store = JobStore(spark, str(tmp_path / "s"), buckets=4)
+    store = JobStore(spark, str(tmp_path / "s"), buckets=2)
     store.apply(tables, 0)
     one = tables["search_queries"].orderBy("query_id").limit(1)
     renamed = stored(one.withColumn("city_name", F.lit("Elsewhere")), "renamed")
@@ -93,7 +93,7 @@ def test_an_attempt_that_died_is_finished(spark, tables, tmp_path, monkeypatch):
 
 
 def test_old_facts_are_read_through_the_touched_keys(spark, tables, tmp_path):
-    store = JobStore(spark, str(tmp_path / "s"), buckets=8)
+    store = JobStore(spark, str(tmp_path / "s"), buckets=4)
     store.apply(tables, 0)
     keys = tables["listing_snapshots"].select("run_id", "job_id").orderBy("run_id", "job_id").limit(1)
     listings, details, _ = store.facts(keys)

@@ -103,3 +103,23 @@ def test_first_sight_never_forgets(spark, tmp_path):
         st.write_batch(spark.createDataFrame(batches[number], SCHEMA), number, target, keys, ["at", "v"], 2, True)
     got = st.read_current(spark, target).collect()
     assert sorted((r["k"] or 0, r["v"]) for r in got) == [(0, "n"), (1, "a"), (2, "c")]
+
+
+def test_a_late_earlier_row_replaces_the_first_sight(spark, tmp_path):
+    folder, target = str(tmp_path / "in"), str(tmp_path / "out")
+    day = lambda n: T0 + timedelta(n)
+
+    def arrive(*rows):
+        put(spark, folder, *rows)
+        stream = st.stream_files(spark, folder, schema_of(spark))
+        st.first_seen_table(
+            stream, target, str(tmp_path / "cp"), ["k"], "at", "v", "10 days", "20 days", 2
+        ).awaitTermination()
+        return sorted((r["k"], r["v"]) for r in st.read_current(spark, target).collect())
+
+    assert arrive((1, "b", day(5)), (1, "c", day(6)), (2, "x", day(5))) == [(1, "b"), (2, "x")]
+    assert arrive((1, "a", day(1)), (2, "y", day(9)), (2, "w", day(5))) == [(1, "a"), (2, "w")]
+    # The watermark passes the states, which are dropped; rows behind it are too late to count.
+    assert arrive((3, "z", day(60))) == [(1, "a"), (2, "w"), (3, "z")]
+    assert arrive((1, "0", day(0)), (4, "q", day(61))) == [(1, "a"), (2, "w"), (3, "z"), (4, "q")]
+    assert arrive((2, "new", day(62))) == [(1, "a"), (2, "new"), (3, "z"), (4, "q")]
