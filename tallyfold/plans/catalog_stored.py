@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.facts import SKILLS
 from tallyfold.functions.identity import hash32
+from tallyfold.operators import bitmaps as bm
 from tallyfold.operators import classify as cl
 from tallyfold.operators import dedupe as dd
 from tallyfold.operators import phrases as ph
@@ -210,3 +211,36 @@ def finish_runs(spark, sf):
     resumed = up.resume_runs(ended, again)
     late = over.where("run_id <> 'run_b'").withColumn("status", F.lit("late"))
     return up.finish_runs(resumed, late).select("run_id", "status", "ended_at")
+
+
+@query("bitmap_counts", """
+    SELECT 'run ' || run_id AS scope, count(DISTINCT job_id) AS jobs FROM v_listings GROUP BY run_id
+    UNION ALL SELECT 'place ' || coalesce(location, ''), count(DISTINCT job_id) FROM v_listings GROUP BY location
+    UNION ALL SELECT 'search ' || query_id, count(DISTINCT job_id) FROM v_listings GROUP BY query_id
+    UNION ALL SELECT 'all', count(DISTINCT job_id) FROM v_listings""", "v_listings")
+def bitmap_counts(spark, sf):
+    """Distinct jobs per run, place and search and in all, exact, from bitmaps of (run, search, place)."""
+    listings = b.v_listings(spark, sf)
+    numbers = stored(bm.key_numbers(listings, ["job_id"]), "job-numbers")
+    by = ["run_id", "query_id", "location"]
+    kept = stored(bm.group_bitmaps(listings, numbers, ["job_id"], by), "bitmaps")
+    scopes = (("run_id", "run "), ("location", "place "), ("query_id", "search "), (None, "all"))
+    lines = []
+    for column, name in scopes:
+        keys = [column] if column else []
+        scope = F.concat(F.lit(name), F.coalesce(column, F.lit(""))) if column else F.lit(name)
+        lines.append(bm.counted(bm.merge_bitmaps(kept, keys), keys).select(scope.alias("scope"), "jobs"))
+    return dd.union_batches(*lines)
+
+
+@query("runs_in_common", """
+    SELECT count(*) FILTER (a AND NOT b) AS only_left, count(*) FILTER (a AND b) AS both,
+           count(*) FILTER (b AND NOT a) AS only_right
+    FROM (SELECT job_id, bool_or(run_id = 'run_a') AS a, bool_or(run_id = 'run_b') AS b FROM v_listings GROUP BY 1)""",
+    "v_listings")
+def runs_in_common(spark, sf):
+    """Jobs that were found in one run, the other, or both, from their bitmaps."""
+    listings = b.v_listings(spark, sf)
+    numbers = stored(bm.key_numbers(listings, ["job_id"]), "job-numbers")
+    kept = bm.group_bitmaps(listings, numbers, ["job_id"], ["run_id"])
+    return bm.shared(kept, "run_id", "run_a", "run_b")
