@@ -17,11 +17,12 @@ def brute(docs, items, shortest=1):
     """(doc_id, item_id) of every item with enough equal words in a window of some diagonal."""
     out = set()
     for d, text in docs:
+        words = set(text)
         for i, item in items:
-            if len(item) < shortest:
-                continue
             size = min(decontaminate.WINDOW, len(item))
             need = decontaminate.MIN_EQUAL if len(item) >= decontaminate.WINDOW else len(item)
+            if len(item) < shortest or sum(w in words for w in item) < need:
+                continue
             for shift in range(-len(item), len(text)):
                 same = [0 <= k + shift < len(text) and item[k] == text[k + shift] for k in range(len(item))]
                 ok = [0 <= k + shift < len(text) for k in range(len(item))]
