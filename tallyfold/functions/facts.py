@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyfold.functions.text import BLANK, WORD, col, contains_any
+from tallyfold.functions.text import BLANK, WORD, col, contains_any, let
 
 # Skills looked for in descriptions.
 SKILLS = (
@@ -39,20 +39,28 @@ WORKPLACE_PARTS = (
 
 def posted_at(text: str | Column, now: str | Column) -> Column:
     """Timestamp meant by '3 days ago', seen from `now`; NULL if the text names none."""
-    c, at = col(text), col(now)
-    wording = F.regexp_replace(F.lower(c), "reposted|posted", "")
-    amount = F.regexp_extract(wording, AGO, 1).try_cast("bigint")
+    at = col(now)
     sizes = F.create_map(*[F.lit(x) for pair in UNIT_SECONDS.items() for x in pair])
-    seconds = F.try_element_at(sizes, F.regexp_extract(wording, AGO, 2)).cast("bigint")
-    age = F.try_multiply(amount, seconds)
     # Only a date before the calendar's first year cannot be given.
     first = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
-    usable = F.when(age <= F.timestamp_diff("SECOND", first, at.cast("timestamp_ntz")), age)
-    return (
-        F.when(c.isNull() | (c == ""), F.lit(None))
-        .when(contains_any(wording, ("just now", "today")), at)
-        .otherwise(F.timestamp_add("SECOND", -usable, at))
-    )
+
+    def usable(age: Column) -> Column:
+        return F.when(age <= F.timestamp_diff("SECOND", first, at.cast("timestamp_ntz")), age)
+
+    def meant(c: Column) -> Column:
+        return F.when(c.isNull() | (c == ""), F.lit(None)).otherwise(
+            let(F.regexp_replace(F.lower(c), "reposted|posted", ""), dated)
+        )
+
+    def dated(wording: Column) -> Column:
+        amount = F.regexp_extract(wording, AGO, 1).try_cast("bigint")
+        seconds = F.try_element_at(sizes, F.regexp_extract(wording, AGO, 2)).cast("bigint")
+        age = let(F.try_multiply(amount, seconds), usable)
+        return F.when(contains_any(wording, ("just now", "today")), at).otherwise(
+            F.timestamp_add("SECOND", -age, at)
+        )
+
+    return let(col(text), meant)
 
 
 def salary_range(text: str | Column, mode: str = "compatible") -> Column:

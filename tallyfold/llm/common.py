@@ -16,9 +16,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.functions.text import let  # noqa: F401  (used by the operators)
 from tallyfold.session import scratch_path
 
 SLICE_BYTES = 1 << 20
@@ -206,8 +207,3 @@ def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """A stored table, to be broadcast if it has at most `rows` rows; a larger one is joined by a
     shuffle with the same result. For narrow rows: the bound keeps a broadcast below some 100 MB."""
     return F.broadcast(df) if df.count() <= rows else df
-
-
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use` of a value that is computed once per row, however often `use` refers to it."""
-    return F.transform(F.array(value), use)[0]

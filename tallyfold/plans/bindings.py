@@ -16,6 +16,7 @@ from tallyfold.functions.facts import detail_confidence, infer_workplace, posted
 from tallyfold.functions.facts import salary_range, skills
 from tallyfold.functions.identity import VIEW_BASE, config_hash
 from tallyfold.functions.rules import pick
+from tallyfold.functions.text import let
 from tallyfold.operators.dedupe import dedupe_best
 from tallyfold.operators.quality import quality_issues, quality_metrics
 from tallyfold.plans.market import classify_best, classify_run
@@ -92,16 +93,21 @@ def v_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = F.when(F.col("ts") < F.lit(RUN_SPLIT).cast("timestamp_ntz"), "run_a").otherwise("run_b")
     k = F.col("k")
     job = F.col("user_id").cast("string")
-    text = F.concat(
-        F.when(k % 10 == 7, F.lit("Reposted ")).otherwise(F.lit("")),
-        F.when(k == 17, (F.col("event_id") % 900000 + 100000).cast("string"))
-        .when(k == 18, F.lit("12345678901234567")).otherwise((k % 30 + 1).cast("string")),
-        F.lit(" "), pick(k % len(UNITS), UNITS), F.lit("s ago"),
-    )
-    posted = (
-        F.when(k == 13, F.lit("Just now")).when(k == 14, F.lit("30+ days ago"))
-        .when(k == 15, F.lit(None)).when(k == 16, F.lit("")).otherwise(text)
-    )
+
+    def wording(k: Column) -> Column:
+        text = F.concat(
+            F.when(k % 10 == 7, F.lit("Reposted ")).otherwise(F.lit("")),
+            F.when(k == 17, (F.col("event_id") % 900000 + 100000).cast("string"))
+            .when(k == 18, F.lit("12345678901234567")).otherwise((k % 30 + 1).cast("string")),
+            F.lit(" "), pick(k % len(UNITS), UNITS), F.lit("s ago"),
+        )
+        return (
+            F.when(k == 13, F.lit("Just now")).when(k == 14, F.lit("30+ days ago"))
+            .when(k == 15, F.lit(None)).when(k == 16, F.lit("")).otherwise(text)
+        )
+
+    # Filters on what is derived from it go below this projection, and would read `props` at every mention.
+    posted = let(k, wording)
     company = (
         F.when(k % 20 == 0, F.lit(None)).when(k % 20 == 1, F.lit("")).when(k % 20 == 2, "N/A")
         .otherwise(F.concat(F.lit("Company "), (F.col("user_id") % 40).cast("string")))

@@ -96,3 +96,12 @@ def test_limit_reaches_below_the_exchange(spark, sf_dir):
 def test_classification_is_one_projection(spark, sf_dir):
     plan = plan_of(QUERIES["classify_track"](spark, sf_dir))
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_a_filter_on_the_posting_date_derives_it_once(spark, sf_dir):
+    from tallyfold.operators.profile import date_window_violations
+    from tallyfold.plans.bindings import v_listings
+
+    late = date_window_violations(v_listings(spark, sf_dir), 7).select("snapshot_id", "posted_at")
+    plan = late._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") <= 3 and plan.count("regexp_replace") <= 2
