@@ -41,12 +41,11 @@ def read_tables(spark, sf):
     SELECT page_id, sha256(html || chr(10)) AS content_sha256, length(html) + 1 AS n_chars
     FROM pages""")
 def read_snapshots(spark, sf):
-    """Every page as a file (the text writer ends it with a line feed), read back."""
+    """Every page as a file (the writer ends it with a line feed), read back."""
     path = scratch_path(spark, "page_files")
-    pages = b.load(spark, sf, "pages").select("page_id", F.col("html").alias("value"))
-    pages.write.partitionBy("page_id").text(path)
-    return rd.read_snapshots(spark, f"{path}/*/*.txt").select(
-        F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("bigint").alias("page_id"),
+    wr.write_page_files(b.load(spark, sf, "pages"), path, "page_id", "html")
+    return rd.read_snapshots(spark, path).select(
+        F.regexp_extract("path", "page_id=([0-9]+)[./]", 1).cast("bigint").alias("page_id"),
         "content_sha256", F.length("html").cast("bigint").alias("n_chars"),
     )
 

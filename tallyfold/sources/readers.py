@@ -35,8 +35,9 @@ def read_tables(
 
 
 def read_snapshots(spark: SparkSession, glob: str) -> DataFrame:
-    """Stored pages: one row per file with its path, text and hash."""
-    raw = spark.read.text(glob, wholetext=True)
+    """Stored pages: one row per file with its path, text and hash. Files below a folder that is named are
+    found by Spark's tasks; a glob over many folders is resolved by the driver alone."""
+    raw = spark.read.option("recursiveFileLookup", True).text(glob, wholetext=True)
     return raw.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("value").alias("html"),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
+import os
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tallyfold.operators.canonical import canonical_jobs
@@ -14,6 +17,8 @@ from tallyfold.session import stored
 from tallyfold.sources.readers import CSV_TIMESTAMP, read_table
 
 PLAIN_VALUE = re.compile(r"[\w.\-]+")
+FILE_TASKS = 4  # tasks per core where every row makes a file
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # as Spark names a null
 
 
 def replace_partition(
@@ -95,6 +100,39 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
+def write_page_files(df: DataFrame, path: str, key: str, text: str) -> None:
+    """One file per value of `key`, named key=value, in a new folder that all machines see; a text ends with
+    a line feed, and the texts of rows that share a key follow each other.
+
+    A file costs the same however short it is, so every core writes some. Hadoop's local file system starts
+    several processes per file to set its rights; folders of that kind get plain files from the tasks.
+    """
+    spark = df.sparkSession
+    tasks = FILE_TASKS * spark.sparkContext.defaultParallelism
+    rows = df.select(key, F.col(text).alias("value")).repartition(tasks, key)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.getScheme() != "file":
+        rows.write.partitionBy(key).option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
+        return
+    root = system.makeQualified(folder).toUri().getPath()
+    os.makedirs(root)
+
+    def write(part: Iterator[Row]) -> None:
+        context = TaskContext.get()
+        own = f"{root}/{context.partitionId():05}"
+        for value, same in itertools.groupby(part, lambda row: row[0]):
+            os.makedirs(own, exist_ok=True)
+            name = f"{own}/{key}={NO_VALUE if value is None else value}.txt"
+            # Renamed when whole, so that a second attempt at the task never shows half a file.
+            with open(half := f"{own}/_{context.taskAttemptId()}", "wb") as out:
+                for row in same:
+                    out.write((row[1] or "").encode() + b"\n")
+            os.replace(half, name)
+
+    rows.sortWithinPartitions(key).foreachPartition(write)
+
+
 def write_summary(df: DataFrame, path: str) -> None:
     """One-row summary as JSON."""
     df.write.mode("overwrite").json(path)

@@ -135,3 +135,20 @@ def test_bound_tables_have_the_schema(spark, sf_dir, name):
     df = job_tables(spark, sf_dir)[name]
     for field in TABLES[name].fields:
         assert df.schema[field.name].dataType.simpleString() == field.dataType.simpleString()
+
+
+def test_page_files_are_written_by_many_tasks(spark, tmp_path):
+    from collections import Counter
+
+    from tallyfold.sources.writers import write_page_files
+
+    rows = [(i, f"<p>é {i}</p>") for i in range(200)] + [(7, "again"), (None, "x"), (300, None), (301, "a\nb")]
+    pages = spark.createDataFrame(rows, "page_id long, html string").coalesce(1)
+    for path in (f"{tmp_path}/a b", f"file:{tmp_path}/c"):
+        write_page_files(pages, path, "page_id", "html")
+        found = {r.path.rsplit("/", 1)[1]: r for r in rd.read_snapshots(spark, path).collect()}
+        assert len(found) == 203 and found["page_id=301.txt"].html == "a\nb\n"
+        assert found["page_id=7.txt"].html == "<p>é 7</p>\nagain\n" and found["page_id=300.txt"].html == "\n"
+        # One task wrote all of them before, in a folder each.
+        folders = Counter(r.path.rsplit("/", 2)[1] for r in found.values())
+        assert 8 <= len(folders) <= 4 * spark.sparkContext.defaultParallelism and max(folders.values()) < 60
