@@ -1,6 +1,9 @@
 """Labelled samples and models that are trained in one task and used in all.
 
-A model is fitted on a bounded sample: of every class the `per_class` rows with the smallest hashes
+`labelled_blocks` and `summed` train on every labelled row: blocks of bounded size are read by one task each,
+and what tasks found is added up as whole numbers, so that the order of tasks changes nothing.
+
+Otherwise a model is fitted on a bounded sample: of every class the `per_class` rows with the smallest hashes
 of doc_id. The ids of the sample are at most twice that many, which bounds the broadcast; the texts
 meet in one task, which returns the arrays of the model.
 """
@@ -12,10 +15,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import columns, texts_of
+from tallyfold.llm.common import columns, small, stored, texts_of, to_python
 
 Model = dict[str, np.ndarray]
 Trainer = Callable[[list[bytes], np.ndarray, np.ndarray], Model]
@@ -32,8 +35,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     Rows without id or label are left out; a document labelled more than once counts with its
     largest label, one stored more than once with its smallest text.
     """
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
-    known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    known = known_labels(labels, label)
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     parts = [
         known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
@@ -47,6 +49,49 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     )
 
 
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """doc_id, label (0 or 1): rows without either are left out, of several labels the largest counts."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
+    return known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+
+
+def labelled_blocks(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """block, held, doc_id, text, label of every labelled document, stored: blocks of about `rows` rows by a
+    hash of doc_id, of which every fourth row by doc_id is held back. Texts as in `labelled_sample`."""
+    known = stored(known_labels(labels, label), "known-labels")
+    blocks = max(1, -(-known.count() // rows))
+    found = docs.select("doc_id", "text").join(small(known), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("label").alias("label")
+    )
+    found = found.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    place = F.row_number().over(Window.partitionBy("block").orderBy("doc_id"))
+    return stored(found.select("block", (place % 4 == 0).alias("held"), "doc_id", "text", "label"), "labelled")
+
+
+def summed(found: DataFrame, slots: int) -> DataFrame:
+    """Rows (slot, numbers), numbers being the bytes of 64-bit integers, added up per slot."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for slot, numbers in zip(*(c.to_pylist() for c in columns(batch, "slot", "numbers"))):
+                value = np.frombuffer(numbers, np.int64)
+                total[slot] = total[slot] + value if slot in total else value
+        for slot in sorted(total):
+            yield slot_batch([slot], [total[slot]])
+
+    tasks = min(slots, found.sparkSession.sparkContext.defaultParallelism)
+    return to_python(found).repartition(tasks, "slot").mapInArrow(run, SLOTS)
+
+
+SLOTS = "slot int, numbers binary"
+
+
+def slot_batch(slots: list[int], numbers: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(slots, pa.int32()), pa.array([n.tobytes() for n in numbers], pa.binary())], ["slot", "numbers"]
+    )
+
+
 def packed(model: Model) -> bytes:
     out = io.BytesIO()
     np.savez(out, **model)

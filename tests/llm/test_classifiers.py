@@ -184,3 +184,25 @@ def test_languages_by_function_words():
     texts = ["The cat is of the house", "le chat et les chiens dans une maison", "der Hund und die Katze", "el perro y los gatos", "zzz", ""]
     found = toxicity.languages(Words([t.encode() for t in texts], blank=MARKS), toxicity.language_table())
     assert [toxicity.LANGUAGES[k] for k in found] == ["en", "fr", "de", "es", "other", "other"]
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """One text in a hundred has the only sign of its class, and each block sees few of them."""
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choices([f"word{k}" for k in range(60)], k=12) + (["vile", "slur"] if i % 5 == 0 else []))) for i in range(1500)]
+    rows = [(i, text + (" rareword" if i % 100 == 5 else "")) for i, text in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    blocks = toxicity.labelled_blocks(docs, labels, "toxic", 200)
+    assert blocks.select("doc_id").distinct().count() == blocks.count() == 1500
+    assert blocks.select("block").distinct().count() == 8
+    seen, n = toxicity.counted(blocks.where("NOT held"))
+    own = {x.doc_id for x in blocks.where("NOT held").collect()}
+    assert n.tolist() == [sum(i % 5 != 0 for i in own), sum(i % 5 == 0 for i in own)] and n.sum() < 1200
+    code = toxicity.word_codes(toxicity.Words([b"rareword"], blank=toxicity.MARKS))[0, 0]
+    assert seen[1, 0, code] == sum(i % 100 == 5 for i in own)
+    small = toxicity.toxicity_model(docs, labels, per_class=100)
+    again = toxicity.toxicity_model(docs.repartition(5), labels.repartition(3), per_class=100)
+    assert all(np.array_equal(small[k], again[k]) for k in small)
+    score = {x.doc_id: x.score for x in toxicity.toxicity(docs, small).collect()}
+    assert np.mean([(score[i] >= 0.5) == (i % 5 == 0) for i in score]) > 0.98
