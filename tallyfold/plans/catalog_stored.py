@@ -22,10 +22,9 @@ from tallyfold.plans.registry import query
 from tallyfold.schemas import JOB_DETAILS, LISTING_SNAPSHOTS, SEARCH_QUERIES, TABLES
 from tallyfold.session import scratch_path, stored
 from tallyfold.sources import published as pb
-from tallyfold.sources.bucketed import BucketedTable
+from tallyfold.sources.bucketed import BucketedTable, buckets_for
 
-# Buckets in proportion to the given tables.
-BUCKETS = 8
+BUCKETS = 8  # the least; more for larger tables
 BATCHES = 3
 
 
@@ -34,7 +33,7 @@ def events_table(spark, sf):
     events = b.load(spark, sf, "events").select("user_id", "event_type", "event_id", "value", "ts")
     table = BucketedTable.create(
         spark, scratch_path(spark, "events-table"), events.schema, ["user_id", "event_type"],
-        by=["user_id"], buckets=BUCKETS,
+        by=["user_id"], buckets=buckets_for(events.count(), BUCKETS),
     )
     for number in range(BATCHES):
         batch = events.where(F.col("event_id") % BATCHES == number)
@@ -80,7 +79,8 @@ def canonical_incremental(spark, sf):
             ("listing_snapshots", LISTING_SNAPSHOTS), ("job_details", JOB_DETAILS), ("search_queries", SEARCH_QUERIES),
         )
     }
-    store = JobStore(spark, scratch_path(spark, "job-store"), BUCKETS)
+    rows = max(df.count() for df in given.values())
+    store = JobStore(spark, scratch_path(spark, "job-store"), buckets_for(rows, BUCKETS))
     for number in range(BATCHES):
         store.apply({
             name: df.where(F.pmod(F.xxhash64(df.columns[0], df.columns[1]), F.lit(BATCHES)) == number)

@@ -28,12 +28,18 @@ from tallyfold.session import stored
 from tallyfold.sources.versions import Versions
 
 BUCKETS = 64
+ROWS = 200_000  # of a bucket, where the number of buckets follows that of rows
 # So many runs of one tier are merged; tiers differ by this factor in rows.
 FAN = 4
 SEQ = "_seq"
 BUCKET = "_bucket"
 
 
+def buckets_for(rows: int, least: int = 1) -> int:
+    """So many buckets that the task which writes one gets about `ROWS` rows, however many there are."""
+    return max(least, -(-rows // ROWS))
+
+
 @dataclass(frozen=True)
 class Run:
     """One bucket's part of one write."""

@@ -141,3 +141,13 @@ def test_buckets_by_a_part_of_the_key(spark, tmp_path):
     t.upsert(spark.createDataFrame([("p1", 1, "b"), ("p1", 99, "c")], schema))
     got = t.lookup(spark.createDataFrame([("p1",)], "part string")).collect()
     assert sorted((r["k"], r["v"]) for r in got)[:2] == [(1, "b"), (6, "a")] and len(got) == 11
+
+
+def test_buckets_follow_the_rows(spark, sf_dir, monkeypatch):
+    from tallyfold.plans import catalog_stored
+    from tallyfold.sources import bucketed
+
+    assert [bucketed.buckets_for(n, 8) for n in (0, 1_600_000, 1_600_001, 36_000_000)] == [8, 8, 9, 180]
+    monkeypatch.setattr(bucketed, "ROWS", 100)
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    assert rows > 800 and catalog_stored.events_table(spark, sf_dir).buckets == -(-rows // 100)
