@@ -113,9 +113,9 @@ def expected_cities(runs: DataFrame, coverage: DataFrame, cities: Sequence[tuple
     )
 
 
-def detail_lookup(jobs: DataFrame, details: DataFrame) -> DataFrame:
-    """Jobs with what their detail page says, ready for classification."""
-    found = details.select(*JOB, "description", F.col("workplace_type").alias("workplace_hint"))
+def detail_lookup(jobs: DataFrame, details: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Jobs with what their detail page says, ready for classification; `more` names further columns."""
+    found = details.select(*JOB, "description", F.col("workplace_type").alias("workplace_hint"), *more)
     return jobs.join(found, JOB, "left")
 
 

@@ -36,8 +36,11 @@ def dedupe_best(
     order: Sequence[tuple[str, str]] = BEST_ORDER,
     tie: str = TIE,
 ) -> DataFrame:
-    """Best observation per key; `tie` makes the order total."""
-    return first_per_key(df, keys, ordering([*order, (tie, "asc")]))
+    """Best observation per key; `tie` makes the order total.
+
+    Sorts compare a few bytes of their first column before whole rows: the last key, the finest, comes first.
+    """
+    return first_per_key(df, keys[::-1], ordering([*order, (tie, "asc")]))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, str]]) -> DataFrame:

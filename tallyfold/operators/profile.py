@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.text import clean_text, col, is_blank, let
+from tallyfold.functions.text import clean_text, col, is_blank
 
 REQUIRED = ("title", "company", "location", "url")
 
@@ -73,7 +73,7 @@ def date_window_violations(df: DataFrame, days: int) -> DataFrame:
 def is_outside_window(days: int) -> Column:
     earliest = F.col("scraped_at") - F.make_dt_interval(F.lit(days + 1))
     # As a filter this goes below the projection that derives `posted_at`: it names it once.
-    return let(F.col("posted_at"), lambda posted: posted.isNotNull() & (posted < earliest))
+    return F.coalesce(F.col("posted_at") < earliest, F.lit(False))
 
 
 def pending_queries(frame: DataFrame) -> DataFrame:

@@ -65,13 +65,18 @@ def insert_if_absent(
     dim: DataFrame, incoming: DataFrame, value: str, seen_at: str, key: str = "key"
 ) -> DataFrame:
     """Dimension after adding unknown values; the earliest spelling of a key is kept, undated ones
-    last."""
-    named = incoming.where(F.col(value).isNotNull() & (clean_text(value) != ""))
-    spelling = F.trim(F.col(value))
-    first = named.groupBy(norm_text(value).alias(key)).agg(
+    last.
+
+    Rows are reduced to one per spelling by a plain minimum, which hashes; only the spellings are cleaned
+    and compared as a whole, which sorts."""
+    spellings = incoming.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_spelling")).agg(
+        F.min(seen_at).alias("_at")
+    )
+    named = spellings.where(clean_text("_spelling") != "")
+    first = named.groupBy(norm_text("_spelling").alias(key)).agg(
         F.min(F.struct(
-            F.col(seen_at).isNull().alias("undated"), F.col(seen_at).alias("at"),
-            spelling.alias("name"),
+            F.col("_at").isNull().alias("undated"), F.col("_at").alias("at"),
+            F.trim("_spelling").alias("name"),
         )).alias("f")
     )
     found = first.select(

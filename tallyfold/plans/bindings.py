@@ -236,9 +236,15 @@ def dimension(listings: DataFrame, value: str, key: str) -> DataFrame:
 class JobTables(Mapping):
     """Pipeline tables by name, each planned when it is first asked for and nothing written: a report
     reads the columns it uses. `classified_best` holds best rows, details and labels in one row, so
-    that reports need not join labels to the rows they were made from."""
+    that reports need not join labels to the rows they were made from.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    Whoever needs all tables whole gives `keep`, which writes one and reads it back: the tables made from
+    it then read what was kept, and nothing is derived twice."""
+
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame, str], DataFrame] | None = None
+    ):
+        self._keep = keep
         self._made: dict[str, DataFrame] = {}
         self._makers: dict[str, Callable[[], DataFrame]] = {
             "search_runs": lambda: runs_of(self["listing_snapshots"]),
@@ -261,7 +267,8 @@ class JobTables(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = self._makers[name]()
+            made = self._makers[name]()
+            self._made[name] = self._keep(made, name) if self._keep and name in TABLES else made
         return self._made[name]
 
     def __iter__(self) -> Iterator[str]:
@@ -272,6 +279,8 @@ class JobTables(Mapping):
         return len(TABLES)
 
 
-def job_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
-    """All pipeline tables; labels and issues are computed from the others."""
-    return JobTables(spark, sf_dir)
+def job_tables(
+    spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> Mapping[str, DataFrame]:
+    """All pipeline tables; labels and issues are computed from the others, as kept if `keep` is given."""
+    return JobTables(spark, sf_dir, keep)

@@ -72,9 +72,9 @@ def stored_lookup(spark, sf):
 @query("canonical_incremental", CANONICAL_SQL, CANONICAL_VIEWS)
 def canonical_incremental(spark, sf):
     """Canonical jobs after listings, details and searches came in three batches."""
-    tables = b.job_tables(spark, sf)
+    tables = b.job_tables(spark, sf, keep=stored)
     given = {
-        name: stored(tables[name].select(*schema.fieldNames()), name)
+        name: tables[name].select(*schema.fieldNames())
         for name, schema in (
             ("listing_snapshots", LISTING_SNAPSHOTS), ("job_details", JOB_DETAILS), ("search_queries", SEARCH_QUERIES),
         )
@@ -156,8 +156,8 @@ def search_terms(spark, sf):
 def export_published(spark, sf):
     """Everything published, then one run in its place again; the second version has the same tables."""
     root = scratch_path(spark, "published")
-    tables = b.job_tables(spark, sf)
-    given = {name: stored(tables[name].select(*schema.fieldNames()), name) for name, schema in TABLES.items()}
+    tables = b.job_tables(spark, sf, keep=stored)
+    given = {name: tables[name].select(*schema.fieldNames()) for name, schema in TABLES.items()}
     pb.publish(given, root)
     pb.publish(given, root, "run_a")
     pb.sweep(spark, root, keep=1)

@@ -23,8 +23,13 @@ LABELS = ("role_family", "seniority", "track", "workplace", "confidence", "reaso
 
 def classify_best(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Best row per job with its detail and labels, as stored under `classified_best` or made here."""
-    jobs = detail_lookup(best_listings(tables), tables["job_details"])
-    return classify_jobs(jobs, "title", "description", "workplace_hint")
+    hint = F.col("workplace_type")
+    # The rules read a description only where there is no hint; other texts need not travel for them.
+    details = tables["job_details"].withColumn(
+        "_unhinted", F.when(hint.isNull() | (hint == ""), F.col("description"))
+    )
+    jobs = detail_lookup(best_listings(tables), details, ["_unhinted"])
+    return classify_jobs(jobs, "title", "_unhinted", "workplace_hint").drop("_unhinted")
 
 
 def classify_run(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -271,6 +271,40 @@ def test_insert_if_absent(spark):
     assert rows(up.insert_if_absent(out, new, "name", "at"), "key") == rows(out, "key")
 
 
+def test_insert_if_absent_of_many_spellings_matches_brute_force(spark):
+    dim = spark.createDataFrame([("known", "Known", T0)], "key string, canonical_name string, first_seen_at timestamp_ntz")
+    given = [
+        (["Acme", " acme", "ACME ", "ac  me", "AC ME", "known", " ", "", None, "\u00a0", "Zeta\t"][i * 7 % 11],
+         None if i % 5 == 0 or i % 11 == 3 else T0 + timedelta(i * 13 % 17))
+        for i in range(200)
+    ]
+    first = {}
+    for name, at in given:
+        key = " ".join((name or "").lower().split())
+        if key and key != "known":
+            value = (at is None, at or T0, name.strip(" "))
+            first[key] = min(first.get(key, value), value)
+    expected = [("known", "Known", T0), *[(k, name, None if undated else at) for k, (undated, at, name) in first.items()]]
+    new = spark.createDataFrame(given, "name string, at timestamp_ntz").repartition(7)
+    assert rows(up.insert_if_absent(dim, new, "name", "at"), "key") == sorted(expected)
+
+
+def test_descriptions_are_read_where_a_job_has_no_hint(spark):
+    from tallyfold.plans.market import classify_best
+
+    best = spark.createDataFrame(
+        [("r", j, "Engineer") for j in ("1", "2", "3", "4")], "run_id string, job_id string, title string")
+    details = spark.createDataFrame([
+        ("r", "1", "fully remote", None), ("r", "2", "fully remote", ""), ("r", "3", "fully remote", "Hybrid"),
+    ], "run_id string, job_id string, description string, workplace_type string")
+    got = classify_best({"best_listings": best, "job_details": details})
+    assert rows(got.select("job_id", "workplace", "description"), "job_id") == [
+        ("1", "Remote", "fully remote"), ("2", "Remote", "fully remote"), ("3", "Hybrid", "fully remote"),
+        ("4", "Unknown", None),
+    ]
+    assert got.columns[:5] == ["run_id", "job_id", "title", "description", "workplace_hint"]
+
+
 def test_update_status(spark):
     schema = "query_id string, status string, result_count int, pages_collected int, last_error string"
     frame = spark.createDataFrame([("a", "failed", 3, 1, "boom"), ("b", "pending", None, 0, None)], schema)

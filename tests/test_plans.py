@@ -105,3 +105,56 @@ def test_a_filter_on_the_posting_date_derives_it_once(spark, sf_dir):
     late = date_window_violations(v_listings(spark, sf_dir), 7).select("snapshot_id", "posted_at")
     plan = late._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("get_json_object") <= 3 and plan.count("regexp_replace") <= 2
+
+
+def test_tables_made_from_a_kept_one_read_it_back(spark, sf_dir):
+    made = {}
+
+    def keep(df, name):
+        made[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return session.stored(df, name)
+
+    kept, plain = b.job_tables(spark, sf_dir, keep=keep), b.job_tables(spark, sf_dir)
+    for name in kept:
+        columns = [f.name for f in kept[name].schema if f.dataType.typeName() != "map"]
+        assert kept[name].columns == plain[name].columns
+        assert kept[name].count() == plain[name].count()
+        assert plain[name].select(columns).exceptAll(kept[name].select(columns)).count() == 0
+    assert [n for n in made if "get_json_object" in made[n]] == ["listing_snapshots"]
+    assert [n for n in made if "regexp_extract_all" in made[n]] == ["job_details"]
+    assert sorted(made) == sorted(kept)
+
+
+def test_export_published_derives_the_given_tables_once(spark, sf_dir, monkeypatch):
+    from tallyfold.plans import catalog_stored
+
+    derived, write = [], catalog_stored.stored
+
+    def seen(df, name):
+        if "get_json_object" in df._jdf.queryExecution().optimizedPlan().toString():
+            derived.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(catalog_stored, "stored", seen)
+    assert QUERIES["export_published"](spark, sf_dir).count() == 9
+    assert derived == ["listing_snapshots"]
+
+
+def test_labels_do_not_shuffle_descriptions_that_have_a_hint(spark, sf_dir):
+    plan = plan_of(market.classify_run(b.job_tables(spark, sf_dir, keep=session.stored)))
+    shipped = re.findall(r"Exchange.*\n[^\n]*Project \[(.*)\]\n", plan)
+    assert any(columns.endswith("AS _unhinted#" + columns.rpartition("#")[2]) for columns in shipped)
+    assert not any(re.search(r"(^|, )description#\d+(,|$)", columns) for columns in shipped)
+
+
+def test_spellings_are_counted_before_they_are_cleaned(spark, sf_dir):
+    listings = session.stored(b.v_listings(spark, sf_dir), "listings")
+    plan = plan_of(b.dimension(listings, "company", "company_key"))
+    aggregates = [n for n in plan.splitlines() if "Aggregate" in n]
+    assert "HashAggregate(keys=[company" in aggregates[-1] and "regexp_replace" not in aggregates[-1]
+
+
+def test_best_rows_are_sorted_by_job_first(spark, sf_dir):
+    plan = plan_of(dd.dedupe_best(session.stored(b.v_listings(spark, sf_dir), "listings")))
+    sorts = re.findall(r"Sort \[(\w+)#", plan)
+    assert sorts and set(sorts) == {"job_id"}
